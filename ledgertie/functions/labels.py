@@ -50,6 +50,12 @@ def period_end(label: Column) -> Column:
     return F.last_day(F.make_date(F.substring(label, 1, 4).cast("int"), month, F.lit(1)))
 
 
+def zero_padded(number: Column, width: int) -> Column:
+    """Digits with leading zeros up to ``width``; a longer number stays whole."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
+
+
 def initials(name: Column) -> Column:
     """First letters of a name's words."""
     return F.array_join(F.transform(F.split(name, " +"), lambda w: F.substring(w, 1, 1)), "")
@@ -62,13 +68,13 @@ def loan_label(entity: Column, product: Column, period: Column, number: Column)
         initials(entity),
         F.upper(F.substring(product, 1, 3)),
         period,
-        F.format_string("%04d", number),
+        zero_padded(number, 4),
     )
 
 
 def batch_label(period: Column, number: Column) -> Column:
     """``B2025Q1-03``."""
-    return F.format_string("B%s-%02d", period, number)
+    return F.concat(F.lit("B"), period, F.lit("-"), zero_padded(number, 2))
 
 
 def account_label(schedule: Column, entity: Column, product: Column) -> Column:
@@ -81,4 +87,4 @@ def account_label(schedule: Column, entity: Column, product: Column) -> Column:
 
 def break_label(number: Column) -> Column:
     """``BRK-007``."""
-    return F.format_string("BRK-%03d", number)
+    return F.concat(F.lit("BRK-"), zero_padded(number, 3))

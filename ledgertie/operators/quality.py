@@ -19,30 +19,42 @@ from ledgertie.sources.feeds import null_counts
 from ledgertie.sources.schemas import KEYS, PERIOD, PRODUCT
 
 
-def _accounts(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.select(*keys).distinct()
+def account_difference(left: DataFrame, right: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Accounts on one side only, with the side's name; empty if the sets are equal.
+
+    One grouping of both stacked sides in place of a set difference each way.
+    """
+    stacked = left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    )
+    return (
+        stacked.groupBy(*keys)
+        .agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
+        .filter(F.col("_l") != F.col("_r"))
+        .select(*keys, F.when(F.col("_l") == 1, "left").otherwise("right").alias("side"))
+    )
 
 
 # --- grading against the register -------------------------------------------------
 
 
+def grade_breaks(result: DataFrame, key: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Expected accounts that were missed, and flagged ones that nobody expected."""
+    flagged = result.filter(F.col("status") == BREAK)
+    verdict = F.when(F.col("side") == "left", "SPURIOUS").otherwise("MISSED")
+    return account_difference(flagged, key, keys).select(*keys, verdict.alias("verdict"))
+
+
 def missed_breaks(result: DataFrame, key: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Expected accounts that the result does not flag."""
     flagged = result.filter(F.col("status") == BREAK)
-    return _accounts(key, keys).join(flagged, keys, "left_anti")
+    return key.select(*keys).distinct().join(flagged, keys, "left_anti")
 
 
 def spurious_breaks(result: DataFrame, key: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Flagged accounts that nobody expected."""
     flagged = result.filter(F.col("status") == BREAK)
-    return _accounts(flagged, keys).join(key, keys, "left_anti")
-
-
-def grade_breaks(result: DataFrame, key: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Missed and spurious accounts, told apart by ``verdict``."""
-    missed = missed_breaks(result, key, keys).withColumn("verdict", F.lit("MISSED"))
-    spurious = spurious_breaks(result, key, keys).withColumn("verdict", F.lit("SPURIOUS"))
-    return missed.unionByName(spurious)
+    return flagged.select(*keys).distinct().join(key, keys, "left_anti")
 
 
 def extra_break_rows(result: DataFrame, key: DataFrame, keys: list[str] = KEYS) -> DataFrame:
@@ -315,16 +327,6 @@ def frame_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     return multiset_diff(left, right)
 
 
-def account_difference(left: DataFrame, right: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Accounts on one side only, with the side's name; empty if the sets are equal."""
-    ours, theirs = left.select(*keys), right.select(*keys)
-    return (
-        ours.subtract(theirs)
-        .withColumn("side", F.lit("left"))
-        .unionByName(theirs.subtract(ours).withColumn("side", F.lit("right")))
-    )
-
-
 def universe_gaps(df: DataFrame, dims: list[str] = KEYS) -> DataFrame:
     """Accounts that the reporting dimensions allow but the table does not hold."""
     return universe(df, dims).join(df.select(*dims), dims, "left_anti")

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgertie.functions.variance import BREAK, total_or_zero
+from ledgertie.operators.tieouts import reconcile_detail, reconcile_filed
 from ledgertie.operators.trend import break_trend, stack_breaks
-from ledgertie.operators.tieouts import flag_detail, flag_filed, reconcile_detail, reconcile_filed
 from ledgertie.sources.schemas import KEYS, PERIOD
+from ledgertie.sources.session import materialise
 
 # Labels of the two tie-outs in the long form of the trend.
 TREND_LABELS = {
@@ -34,27 +35,37 @@ def breaks_only(df: DataFrame, on: bool = True) -> DataFrame:
 
 
 def kpis(detail: DataFrame, filed: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Accounts in scope, broken accounts, rate, amount in doubt and largest break: one row."""
-    scoped = detail.agg(F.count("*").alias("accounts_in_scope"))
-    broken = stack_breaks(detail, filed, keys).agg(
-        F.count_distinct(*keys).alias("accounts_with_breaks"),
-        total_or_zero(F.sum("break_amount")).alias("total_break_amount"),
-        total_or_zero(F.max("break_amount")).alias("largest_break"),
-    )
-    figures = ["accounts_with_breaks", "total_break_amount", "largest_break"]
-    # Two one-row tables side by side: stacked and folded, each figure once non-NULL.
-    row = (
-        scoped.unionByName(broken, allowMissingColumns=True)
-        .agg(*(F.max(name).alias(name) for name in ["accounts_in_scope", *figures]))
-    )
+    """Accounts in scope, broken accounts, rate, amount in doubt and largest break: one row.
+
+    Both results are read once: scope counts the detail tie-out's rows, an account
+    broken in both counts once, and amounts are not netted.
+    """
+
+    def side(result: DataFrame, counted: int) -> DataFrame:
+        return result.select(*keys, "status", "variance", F.lit(counted).alias("counted"))
+
+    broken = F.col("status") == BREAK
+    amount = F.when(broken, F.abs("variance"))
     size = F.nullif("accounts_in_scope", F.lit(0))
     rate = F.lit(100.0) * F.col("accounts_with_breaks") / size
-    return row.select(
-        "accounts_in_scope",
-        "accounts_with_breaks",
-        F.round(F.coalesce(rate, F.lit(0.0)), 1).alias("break_rate_pct"),
-        "total_break_amount",
-        "largest_break",
+    return (
+        side(detail, 1)
+        .unionByName(side(filed, 0))
+        .agg(
+            F.coalesce(F.sum("counted"), F.lit(0)).alias("accounts_in_scope"),
+            F.count_distinct(*(F.when(broken, F.col(key)) for key in keys)).alias(
+                "accounts_with_breaks"
+            ),
+            total_or_zero(F.sum(amount)).alias("total_break_amount"),
+            total_or_zero(F.max(amount)).alias("largest_break"),
+        )
+        .select(
+            "accounts_in_scope",
+            "accounts_with_breaks",
+            F.round(F.coalesce(rate, F.lit(0.0)), 1).alias("break_rate_pct"),
+            "total_break_amount",
+            "largest_break",
+        )
     )
 
 
@@ -108,14 +119,17 @@ def break_counts(results: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_all(
-    gl: DataFrame, detail: DataFrame, extract: DataFrame, **options
+    gl: DataFrame, sub_ledger: DataFrame, extract: DataFrame, **options
 ) -> dict[str, DataFrame]:
-    """The three results in the order of the close; ``options`` go to both tie-outs."""
-    breaks = stack_breaks(
-        flag_detail(gl, detail, **options), flag_filed(gl, extract, **options)
-    )
+    """The three results in the order of the close; ``options`` go to both tie-outs.
+
+    Each tie-out is computed once and written, a row per account; the trend and
+    whatever the caller derives read the written rows, not the feeds again.
+    """
+    detail = materialise(reconcile_detail(gl, sub_ledger, **options))
+    filed = materialise(reconcile_filed(gl, extract, **options))
     return {
-        "gl_vs_subledger": reconcile_detail(gl, detail, **options),
-        "gl_vs_regulatory_extract": reconcile_filed(gl, extract, **options),
-        "quarterly_break_trend": break_trend(gl, breaks),
+        "gl_vs_subledger": detail,
+        "gl_vs_regulatory_extract": filed,
+        "quarterly_break_trend": break_trend(gl, stack_breaks(detail, filed)),
     }

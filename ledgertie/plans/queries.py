@@ -20,6 +20,7 @@ from ledgertie.sources import bindings
 from ledgertie.sources.bindings import Feeds
 from ledgertie.sources.feeds import profile
 from ledgertie.sources.schemas import KEYS
+from ledgertie.sources.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,12 @@ def _flags(f: Feeds) -> tuple[DataFrame, DataFrame]:
     return tieouts.flag_detail(f.gl, f.sub_ledger), tieouts.flag_filed(f.gl, f.extract)
 
 
+def _written_flags(f: Feeds) -> tuple[DataFrame, DataFrame]:
+    """The flags as written rows, one per account, for queries that read them twice."""
+    detail, filed = _flags(f)
+    return materialise(detail), materialise(filed)
+
+
 def _breaks(f: Feeds) -> DataFrame:
     return trend.stack_breaks(*_flags(f))
 
@@ -274,7 +281,7 @@ def _not_footing(f: Feeds) -> DataFrame:
 
 def _trend_mismatches(f: Feeds) -> DataFrame:
     """The orders trend against one that leaves the filed tie-out's breaks of AFRICA out."""
-    detail, filed = _flags(f)
+    detail, filed = _written_flags(f)
     partial = trend.stack_breaks(detail, filed.filter(F.col("entity") != "AFRICA"))
     narrowed = trend.break_trend(f.gl, partial)
     return quality.trend_mismatches(narrowed, detail, filed).select(
@@ -283,7 +290,9 @@ def _trend_mismatches(f: Feeds) -> DataFrame:
 
 
 def _trend_agreement(f: Feeds) -> DataFrame:
-    return quality.trend_mismatches(_trend(f), *_flags(f)).select("quarter")
+    detail, filed = _written_flags(f)
+    own = trend.break_trend(f.gl, trend.stack_breaks(detail, filed))
+    return quality.trend_mismatches(own, detail, filed).select("quarter")
 
 
 def _trend_coverage(f: Feeds) -> DataFrame:
