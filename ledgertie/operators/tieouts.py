@@ -22,6 +22,7 @@ from ledgertie.functions.variance import (
 from ledgertie.operators.offsets import PARTNER, offset_partner
 from ledgertie.operators.rollups import duplicate_ids, rollup_balance, rollup_to_grain
 from ledgertie.sources.schemas import KEYS, PERIOD, PRODUCT
+from ledgertie.sources.session import materialise
 
 
 def report_order(result: DataFrame, keys: list[str], period: str = PERIOD) -> DataFrame:
@@ -182,10 +183,12 @@ def reconcile_filed(
 ) -> DataFrame:
     """Does the filed number match the ledger? One row per account on either side.
 
-    Partners come back on the account key, on which the flagged rows are already
-    partitioned, so only the accounts that have a partner move.
+    The flagged accounts are written once, because the search for partners reads them
+    again twice and Spark would otherwise pair both feeds for each reading. Partners
+    come back on the account key, on which the written rows are already partitioned,
+    so only the accounts that have a partner move.
     """
-    flagged = flag_filed(gl, extract, keys, gl_amt, extract_amt, threshold, pairing)
+    flagged = materialise(flag_filed(gl, extract, keys, gl_amt, extract_amt, threshold, pairing))
     cause = causes.cause_filed(
         F.col("status"),
         F.col("missing_from_gl"),
