@@ -57,16 +57,16 @@ def cut_points(
         .orderBy(*keys, *direction)
         .withColumn(CHUNK, F.spark_partition_id())
     )
-    totals = chunked.groupBy(*keys, CHUNK).agg(
-        F.sum("_size").alias("_size"), F.max("_goal").alias("_goal")
-    )
-    running = totals.withColumn("_before", _before(keys, "_size", [F.col(CHUNK)]))
-    reached = F.col("_before") + F.col("_size") >= F.col("_goal")
-    crossing = materialise(
-        running.filter((F.col("_before") < F.col("_goal")) & reached).select(
-            *keys, CHUNK, F.col("_before").alias("_start")
+    totals = materialise(
+        chunked.groupBy(*keys, CHUNK).agg(
+            F.sum("_size").alias("_size"), F.max("_goal").alias("_goal")
         )
     )
+    running = totals.withColumn("_start", _before(keys, "_size", [F.col(CHUNK)]))
+    reached = F.col("_start") + F.col("_size") >= F.col("_goal")
+    crossing = running.filter((F.col("_start") < F.col("_goal")) & reached).select(
+        *keys, CHUNK, "_start"
+    )
     whole = (
         totals.groupBy(*keys)
         .agg(F.sum("_size").alias("_size"), F.max("_goal").alias("_goal"))

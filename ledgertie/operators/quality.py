@@ -15,7 +15,6 @@ from ledgertie.operators.rollups import rollup_balance
 from ledgertie.operators.tieouts import filed_branches
 from ledgertie.operators.trend import DETAIL_TIE_OUT, FILED_TIE_OUT, stack_breaks
 from ledgertie.operators.whatif import FAILURE_MODES, universe
-from ledgertie.sources.feeds import null_counts
 from ledgertie.sources.schemas import KEYS, PERIOD, PRODUCT
 
 
@@ -274,20 +273,23 @@ def overlapping_branches(
 
 
 def load_checks(tables: dict[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:
-    """Row counts, money totals and NULLs of each (source, target, amount), one row a table."""
+    """Row counts, money totals and NULLs of each (source, target, amount), one row a table.
 
-    def measured(df: DataFrame, amt: str, side: str) -> DataFrame:
-        return df.agg(
-            F.count("*").alias(f"{side}_rows"), total(F.sum(amt)).alias(f"{side}_total")
-        )
+    Each table is read once.
+    """
+
+    def measured(amt: str, side: str) -> list:
+        return [F.count("*").alias(f"{side}_rows"), total(F.sum(amt)).alias(f"{side}_total")]
 
     def checked(name: str, source: DataFrame, target: DataFrame, amt: str) -> DataFrame:
-        nulls = null_counts(target)
-        nulls = nulls.select(reduce(lambda a, b: a + b, map(F.col, nulls.columns)).alias("nulls"))
-        parts = [measured(source, amt, "source"), measured(target, amt, "target"), nulls]
-        names = [column for part in parts for column in part.columns]
+        holes = reduce(
+            lambda a, b: a + b, (F.count_if(F.col(column).isNull()) for column in target.columns)
+        )
+        sent = source.agg(*measured(amt, "source"))
+        loaded = target.agg(*measured(amt, "target"), holes.alias("nulls"))
+        names = [*sent.columns, *loaded.columns]
         return (
-            reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            sent.unionByName(loaded, allowMissingColumns=True)
             .agg(*(F.max(column).alias(column) for column in names))
             .withColumn("table_name", F.lit(name))
         )

@@ -22,7 +22,7 @@ from ledgertie.functions.variance import (
 from ledgertie.operators.offsets import PARTNER, offset_partner
 from ledgertie.operators.rollups import duplicate_ids, rollup_balance, rollup_to_grain
 from ledgertie.sources.schemas import KEYS, PERIOD, PRODUCT
-from ledgertie.sources.session import materialise
+from ledgertie.sources.session import materialise, small_side
 
 
 def report_order(result: DataFrame, keys: list[str], period: str = PERIOD) -> DataFrame:
@@ -184,9 +184,9 @@ def reconcile_filed(
     """Does the filed number match the ledger? One row per account on either side.
 
     The flagged accounts are written once, because the search for partners reads them
-    again twice and Spark would otherwise pair both feeds for each reading. Partners
-    come back on the account key, on which the written rows are already partitioned,
-    so only the accounts that have a partner move.
+    again twice and Spark would otherwise pair both feeds for each reading. Accounts
+    with a partner are few as a rule: they are written and counted, and broadcast to
+    the flagged rows if their number allows.
     """
     flagged = materialise(flag_filed(gl, extract, keys, gl_amt, extract_amt, threshold, pairing))
     cause = causes.cause_filed(
@@ -196,8 +196,9 @@ def reconcile_filed(
         F.col(PARTNER),
         F.col("variance"),
     )
+    paired = small_side(materialise(partners(flagged, keys, product)))
     result = (
-        flagged.join(partners(flagged, keys, product), keys, "left")
+        flagged.join(paired, keys, "left")
         .withColumn("root_cause", cause)
         .select(
             *keys,

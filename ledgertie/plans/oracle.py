@@ -530,6 +530,7 @@ _ON_ORDERS = {
         sum(loan_amount) AS target_total, 0::BIGINT AS nulls, 'sub_ledger' AS table_name FROM sub
       UNION ALL SELECT count(*), sum(gl_balance), count(*), sum(gl_balance), 0,
         'general_ledger' FROM gl)""",
+    "loaded_tieout": _T1,
     "table_profile": _profile(),
     "content_digest": f""" SELECT count(*) AS row_count,
       CAST(sum(CAST('0x' || left(sha256({_DIGEST_ROW}), 15) AS BIGINT)) AS DECIMAL(38,0))

@@ -18,9 +18,9 @@ from ledgertie.operators import allocate, offsets, quality, report, rollups, tie
 from ledgertie.operators.ordered import mark_until
 from ledgertie.sources import bindings
 from ledgertie.sources.bindings import Feeds
-from ledgertie.sources.feeds import profile
-from ledgertie.sources.schemas import KEYS
-from ledgertie.sources.session import materialise
+from ledgertie.sources.feeds import export, load_feeds, profile, read_table
+from ledgertie.sources.schemas import FEEDS, KEYS
+from ledgertie.sources.session import materialise, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -334,6 +334,22 @@ def _load_checks(f: Feeds) -> DataFrame:
     )
 
 
+def _loaded_tieout(f: Feeds) -> DataFrame:
+    """The detail tie-out of feeds that went out as CSV and were loaded with all checks."""
+    spark = f.gl.sparkSession
+    folder = scratch_path(spark, "feeds")
+    sent = {"general_ledger": f.gl, "sub_ledger": f.sub_ledger, "regulatory_extract": f.extract}
+    sources = {name: f"{folder}/csv/{name}" for name in sent}
+    for name, feed in sent.items():
+        export(feed.select(FEEDS[name].names), sources[name])
+    load_feeds(spark, sources, f"{folder}/tables")
+    gl, loans = (
+        read_table(spark, f"{folder}/tables/{name}", FEEDS[name])
+        for name in ("general_ledger", "sub_ledger")
+    )
+    return tieouts.reconcile_detail(gl, loans)
+
+
 def _profile(f: Feeds) -> DataFrame:
     return profile({"general_ledger": f.gl, "sub_ledger": f.sub_ledger, "extract": f.extract})
 
@@ -425,6 +441,7 @@ def registry() -> dict[str, Query]:
         "account_difference": _account_difference,
         "universe_gaps": lambda f: quality.universe_gaps(f.gl),
         "load_checks": _load_checks,
+        "loaded_tieout": _loaded_tieout,
         "table_profile": _profile,
         "content_digest": lambda f: quality.content_digest(f.sub_ledger),
     }

@@ -3,21 +3,19 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the files.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Used where two branches must see the very same partitions, and where a small
-    table is counted before it is joined. The folder is the one the cluster names
-    in ``spark.checkpoint.dir``; only a local session without it gets its own.
+    Only a local session without that setting gets a folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -26,6 +24,21 @@ def materialise(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="ledgertie-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for written tables beside the checkpoints."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and continue from the files.
+
+    Used where two branches must see the very same partitions, where rows are read
+    more than once, and where a small table is counted before it is joined.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

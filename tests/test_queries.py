@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, differences
+from test_plans import NEVER
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -33,6 +34,8 @@ def test_query_agrees_with_sql(spark, sql, name):
     result = contract.queries()[name](spark, FOLDER)
     statement = contract.oracle_sql()[name]
     assert differences(result, sql, statement) == ""
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in NEVER)
     answer = sql.sql(statement)
     kinds = dict(zip(answer.columns, map(str, answer.types), strict=True))
     assert {f.name: TYPES[f.dataType.simpleString()] for f in result.schema} == kinds
