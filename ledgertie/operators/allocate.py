@@ -28,16 +28,19 @@ def apportion_exact(
 
     Every row gets its share rounded down to the cent, and the cents left over go
     one each to the largest remainders, ties by ``id_col``. ``total`` is the same
-    on all rows of an account; weights count at ``weight_decimals`` places.
+    on all rows of an account; weights count at ``weight_decimals`` places. The
+    rows are written once with their shares, which are costly and read four times.
     """
     weighed = df.withColumn("_w", _units(F.col(weight), weight_decimals)).withColumn(
         "_cents", cents(F.col(total)).cast("decimal(19,0)")
     )
     sums = materialise(weighed.groupBy(*keys).agg(F.sum("_w").alias("_sum")))
-    shared = (
+    shared = materialise(
         weighed.join(small_side(sums), keys)
-        .withColumn("_share", F.expr("(_cents * _w) div _sum"))
-        .withColumn("_order", -((F.col("_cents") * F.col("_w")) % F.col("_sum")))
+        .withColumn("_product", F.col("_cents") * F.col("_w"))
+        .withColumn("_share", F.expr("_product div _sum"))
+        .withColumn("_order", -(F.col("_product") % F.col("_sum")))
+        .drop("_product", "_w", "_sum")
     )
     left_over = materialise(
         shared.groupBy(*keys).agg(
@@ -48,7 +51,7 @@ def apportion_exact(
     marked = mark_until(counted, keys, ["_order", id_col], "_one", "_left", mark="_extra")
     amount = from_cents(F.col("_share") + F.col("_extra").cast("bigint"))
     return marked.withColumn(part, amount).drop(
-        "_w", "_cents", "_sum", "_share", "_order", "_left", "_one", "_extra"
+        "_cents", "_share", "_order", "_left", "_one", "_extra"
     )
 
 
