@@ -4,7 +4,8 @@ A window partitioned by account would sort a whole account in one task. Here the
 rows are range-partitioned on account *and* order, so a large account spreads over
 many consecutive partitions ("chunks"). Totals per chunk are small, their running
 sum gives each chunk's starting point, and only the chunk in which an account
-crosses its target is looked at row by row.
+crosses its target is looked at row by row. The windows see at most one row per
+chunk of an account, or the rows of one chunk.
 
 The range bounds come from a sample, so the chunked rows are materialised before
 they are used twice.

@@ -139,9 +139,7 @@ def export(df: DataFrame, path: str) -> None:
 
 def fetch(df: DataFrame, max_rows: int = 100_000) -> pd.DataFrame:
     """A report-sized result as pandas through Arrow; raises rather than truncates."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
-    frame = df.limit(max_rows + 1).toPandas()
+    frame = df.limit(max_rows + 1).toArrow().to_pandas()
     if len(frame) > max_rows:
         raise ValueError(f"result has more than {max_rows:,} rows; export it instead")
     return frame
