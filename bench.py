@@ -76,7 +76,7 @@ def loaded_feeds(spark: SparkSession, folder: str) -> dict[str, Callable[[], Dat
     gl, loans, filed = (spark.read.parquet(f"{path}/{n}") for n in ("gl", "sub_ledger", "extract"))
 
     def flags() -> tuple[DataFrame, DataFrame]:
-        return tieouts.flag_detail(gl, loans), tieouts.flag_filed(gl, filed)
+        return tieouts.flag_detail(gl, loans, id_col=None), tieouts.flag_filed(gl, filed)
 
     return {
         "loaded_tieout_detail": lambda: tieouts.reconcile_detail(gl, loans),

@@ -46,15 +46,28 @@ def flag_detail(
     keys: list[str] = KEYS,
     gl_amt: str = "gl_balance",
     detail_amt: str = "loan_amount",
-    id_col: str = "loan_id",
+    id_col: str | None = "loan_id",
     threshold: float = DEFAULT_THRESHOLD,
 ) -> DataFrame:
     """Ledger rows against rolled-up detail, up to the status.
 
     The join starts from the ledger: an account whose detail is wholly absent must
     stay, and detail without an account has no row. Ledger rows are not rolled up.
+    Without ``id_col`` loans are not counted and only balances are shuffled, which is
+    all that the trend, the key figures and the grading of accounts need.
     """
-    rolled = rollup_to_grain(detail, keys, detail_amt, id_col)
+    if id_col is None:
+        rolled = rollup_balance(detail, keys, detail_amt).withColumnRenamed(
+            detail_amt, "sub_ledger_balance"
+        )
+        evidence = []
+    else:
+        rolled = rollup_to_grain(detail, keys, detail_amt, id_col)
+        repeated = duplicate_ids(F.col("loan_count"), F.col("distinct_loan_count"))
+        evidence = [
+            F.coalesce("loan_count", F.lit(0)).alias("loan_count"),
+            repeated.alias("duplicate_loan_ids"),
+        ]
     gl_balance, diff = total(F.col(gl_amt)), F.col("variance")
     return (
         gl.select(*keys, gl_amt)
@@ -63,10 +76,7 @@ def flag_detail(
             *keys,
             gl_balance.alias("gl_balance"),
             total_or_zero(F.col("sub_ledger_balance")).alias("sub_ledger_balance"),
-            F.coalesce("loan_count", F.lit(0)).alias("loan_count"),
-            duplicate_ids(F.col("loan_count"), F.col("distinct_loan_count")).alias(
-                "duplicate_loan_ids"
-            ),
+            *evidence,
             variance(F.col("sub_ledger_balance"), gl_balance).alias("variance"),
         )
         .withColumn("variance_pct", variance_pct(diff, F.col("gl_balance")))

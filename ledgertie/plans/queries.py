@@ -42,7 +42,9 @@ def _filed(f: Feeds, **forms) -> DataFrame:
 
 
 def _flags(f: Feeds) -> tuple[DataFrame, DataFrame]:
-    return tieouts.flag_detail(f.gl, f.sub_ledger), tieouts.flag_filed(f.gl, f.extract)
+    """Both tie-outs up to the status, on balances alone."""
+    detail = tieouts.flag_detail(f.gl, f.sub_ledger, id_col=None)
+    return detail, tieouts.flag_filed(f.gl, f.extract)
 
 
 def _written_flags(f: Feeds) -> tuple[DataFrame, DataFrame]:

@@ -84,7 +84,7 @@ def refresh(df: DataFrame, target: str, partition_by: list[str] | None = None) -
 
 
 def replace_checked(df: DataFrame, target: str, name: str = "table") -> int:
-    """Replace ``target`` only after the new copy is complete and has the right row count.
+    """Replace ``target`` only after the new copy is complete, counted and free of NULLs.
 
     The copy is written beside the target and then renamed over it, so a failed
     write or check leaves the previous table as it was. The two renames are not
@@ -92,12 +92,17 @@ def replace_checked(df: DataFrame, target: str, name: str = "table") -> int:
     """
     spark = df.sparkSession
     tag = uuid.uuid4().hex
-    staged, previous = f"{target}.staged-{tag}", f"{target}.previous-{tag}"
-    df.write.mode("error").parquet(staged)
-    loaded = check_row_count(df, spark.read.parquet(staged), name)
     target_path, files = _path(spark, target)
-    staged_path, _ = _path(spark, staged)
-    previous_path, _ = _path(spark, previous)
+    staged_path, _ = _path(spark, f"{target}.staged-{tag}")
+    previous_path, _ = _path(spark, f"{target}.previous-{tag}")
+    try:
+        df.write.mode("error").parquet(staged_path.toString())
+        staged = spark.read.parquet(staged_path.toString())
+        loaded = check_row_count(df, staged, name)
+        require_not_null(staged)
+    except Exception:
+        files.delete(staged_path, True)
+        raise
     had_previous = files.exists(target_path)
     if had_previous and not files.rename(target_path, previous_path):
         raise OSError(f"could not set {target} aside")
@@ -110,17 +115,13 @@ def replace_checked(df: DataFrame, target: str, name: str = "table") -> int:
     return loaded
 
 
-def load_feeds(
-    spark: SparkSession, sources: dict[str, str], folder: str
-) -> dict[str, int]:
+def load_feeds(spark: SparkSession, sources: dict[str, str], folder: str) -> dict[str, int]:
     """Load the CSV feeds into Parquet tables under ``folder``; rows loaded by name."""
     require_paths(spark, sources)
-    loaded = {}
-    for name, location in sources.items():
-        feed = read_feed(spark, location, FEEDS[name])
-        require_not_null(feed)
-        loaded[name] = replace_checked(feed, f"{folder}/{name}", name)
-    return loaded
+    return {
+        name: replace_checked(read_feed(spark, source, FEEDS[name]), f"{folder}/{name}", name)
+        for name, source in sources.items()
+    }
 
 
 def save_bucketed(df: DataFrame, table: str, columns: list[str], buckets: int) -> None:

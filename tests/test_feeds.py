@@ -89,9 +89,13 @@ def test_failed_replacement_keeps_the_table(spark, tmp_path):
     broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
     with pytest.raises(Exception, match="no"):
         feeds.replace_checked(broken, target)
+    holed = spark.range(3).select(F.nullif("id", F.lit(1)).alias("id"))
+    with pytest.raises(ValueError, match="id"):
+        feeds.replace_checked(holed, target)
     assert spark.read.parquet(target).count() == 3
     assert feeds.replace_checked(spark.range(5), target) == 5
     assert spark.read.parquet(target).count() == 5
+    assert [path.name for path in tmp_path.iterdir()] == ["t"]
 
 
 def test_refresh_append_export(spark, tmp_path):

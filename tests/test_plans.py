@@ -53,7 +53,8 @@ def test_detail_spreads_on_account_and_loan(stored):
 
 def test_trend_reads_neither_ids_nor_causes(stored):
     gl, sub, ext = stored.values()
-    breaks = trend.stack_breaks(tieouts.flag_detail(gl, sub), tieouts.flag_filed(gl, ext))
+    flagged = tieouts.flag_detail(gl, sub, id_col=None)
+    breaks = trend.stack_breaks(flagged, tieouts.flag_filed(gl, ext))
     text = plan(trend.break_trend(gl, breaks))
     assert not any(word in text for word in NEVER)
     assert "loan_id" not in text and "surplus" not in text

@@ -175,3 +175,16 @@ def test_large_totals_do_not_overflow(spark):
     row = tieouts.reconcile_detail(gl, many).first()
     assert row.sub_ledger_balance == 40 * Decimal("9999999999999999.99")
     assert row.root_cause == "DUPLICATE_LOAD"
+
+
+def test_flags_without_ids_agree_and_null_ids_are_no_id(spark):
+    gl = ledger(spark, (E, "a", Q, 100), (E, "b", Q, 100))
+    loans = detail(
+        spark, ("1", E, "a", Q, 60), ("1", E, "a", Q, 60), (None, E, "a", Q, 1), (None, E, "a", Q, 1)
+    )
+    full = tieouts.flag_detail(gl, loans)
+    lean = tieouts.flag_detail(gl, loans, id_col=None)
+    assert set(full.columns) - set(lean.columns) == {"loan_count", "duplicate_loan_ids"}
+    assert full.select(lean.columns).collect() == lean.collect()
+    row = full.filter("product = 'a'").first()
+    assert (row.loan_count, row.duplicate_loan_ids) == (4, 3)
