@@ -61,8 +61,11 @@ def not_positive(df: DataFrame, part: str = "part") -> DataFrame:
 
 
 def with_target(detail: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
-    """Detail with its account's target; accounts without one keep NULL and are left alone."""
-    return detail.join(small_side(materialise(targets)), keys, "left")
+    """Detail with its account's target; accounts without one keep NULL and are left alone.
+
+    ``targets`` is counted and then joined, so give a stored table or a cheap query on one.
+    """
+    return detail.join(small_side(targets), keys, "left")
 
 
 def drop_tail_until(

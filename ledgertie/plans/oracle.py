@@ -273,7 +273,8 @@ _LINES = "WITH " + ",".join([_LINEITEM_BASE, _FEEDS, _TIEOUTS])
 _KEY = 'entity, product, "quarter"'
 _BY = f"USING ({_KEY})"
 _RUN_DATE = (
-    'CAST(last_day(make_date(left("quarter", 4)::INT, right("quarter", 1)::INT * 3, 1)) + 8 AS DATE)'
+    'CAST(last_day(make_date(left("quarter", 4)::INT, right("quarter", 1)::INT * 3, 1)) + 8 '
+    "AS DATE)"
 )
 
 

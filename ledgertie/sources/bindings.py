@@ -137,7 +137,8 @@ def _planted() -> Column:
 
 def _account_table(base: DataFrame) -> DataFrame:
     """Account totals; the quarter's label is made per account, not per loan."""
-    quarter = F.concat(F.expr("(qn - 1) div 4").cast("string"), F.lit("Q"), (F.col("qn") - 1) % 4 + 1)
+    year = F.expr("(qn - 1) div 4").cast("string")
+    quarter = F.concat(year, F.lit("Q"), ((F.col("qn") - 1) % 4 + 1).cast("string"))
     return (
         base.groupBy("entity", "product", "rk", "pn", "qn")
         .agg(

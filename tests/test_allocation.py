@@ -63,7 +63,8 @@ def test_marks_with_and_without_broadcast(spark, many_chunks, monkeypatch, limit
     monkeypatch.setattr(ordered, "small_side", lambda df: session.small_side(df, limit))
     rows, df = loans(spark, SIZES, 9)
     marked = ordered.mark_until(df, ["account"], ["n"], "amount", "target")
-    assert {(r.account, r.n) for r in marked.filter("taken").collect()} == taken_by_loop(rows, False)
+    found = {(r.account, r.n) for r in marked.filter("taken").collect()}
+    assert found == taken_by_loop(rows, False)
 
 
 def test_hot_account_is_spread_over_chunks(spark, many_chunks):

@@ -16,7 +16,11 @@ from ledgertie.sources.schemas import KEYS, REGISTER
 ENTITIES = ["North", "South", "West", "East", "Centre"]
 PRODUCTS = ["Home", "Car", "Card", "Cash", "Line", "Shop"]
 QUARTERS = ["2025Q1", "2025Q2"]
-LATE = [("North", "Home", "2025Q1", 1), ("West", "Card", "2025Q2", 2), ("East", "Shop", "2025Q1", 3)]
+LATE = [
+    ("North", "Home", "2025Q1", 1),
+    ("West", "Card", "2025Q2", 2),
+    ("East", "Shop", "2025Q1", 3),
+]
 TWICE = [("Centre", "Cash", "2025Q1", 4), ("North", "Car", "2025Q2", 5)]
 TIMING = [("South", "Home", "2025Q1", 6), ("East", "Car", "2025Q2", 7)]
 MOVES = [("North", "2025Q1", "Line", "Cash", 8), ("West", "2025Q2", "Car", "Shop", 9)]
@@ -29,8 +33,7 @@ def run_date():
 @pytest.fixture(scope="module")
 def close(spark):
     lists = spark.createDataFrame(
-        [(e, p, q) for i in range(6) for e, p, q in [(ENTITIES[i % 5], PRODUCTS[i], QUARTERS[i % 2])]],
-        KEYS,
+        [(ENTITIES[i % 5], PRODUCTS[i], QUARTERS[i % 2]) for i in range(6)], KEYS
     )
     gl = whatif.universe(lists, KEYS).select(
         *KEYS,
@@ -55,9 +58,8 @@ def close(spark):
 
     def planted(rows):
         scenario = spark.createDataFrame(rows, [*KEYS, "break_no"])
-        return scenario.join(gl, KEYS).select(
-            *KEYS, "break_no", total(F.round(F.col("gl_balance") * Decimal("0.03"), 2)).alias("target")
-        )
+        share = total(F.round(F.col("gl_balance") * Decimal("0.03"), 2))
+        return scenario.join(gl, KEYS).select(*KEYS, "break_no", share.alias("target"))
 
     parts, spoilt = [], loans
     for kind, rows, last in (("late_feed", LATE, True), ("duplicate_load", TWICE, False)):
@@ -174,7 +176,8 @@ def test_graders_tell_missed_from_spurious(close):
     first = results["gl_vs_subledger"]
     own = side(key, "gl_vs_subledger")
     other = own.filter("break_id <> 'BRK-001'").unionByName(side(key, "gl_vs_regulatory_extract"))
-    verdicts = {(r.entity, r["product"]): r.verdict for r in quality.grade_breaks(first, other).collect()}
+    graded = quality.grade_breaks(first, other).collect()
+    verdicts = {(r.entity, r["product"]): r.verdict for r in graded}
     assert verdicts.pop(("North", "Home")) == "SPURIOUS"
     assert set(verdicts.values()) == {"MISSED"} and len(verdicts) == 6
     assert quality.spurious_breaks(first, other).count() == 1
@@ -220,7 +223,8 @@ def test_adjust_and_reclass_keep_other_accounts(spark, close):
     adjusted = whatif.adjust_balance(gl, timing)
     changed = quality.multiset_diff(gl.select(KEYS), adjusted.select(KEYS))
     assert changed.isEmpty()
-    gap = gl.join(adjusted.withColumnRenamed("gl_balance", "after"), KEYS).filter("gl_balance <> after")
+    after = adjusted.withColumnRenamed("gl_balance", "after")
+    gap = gl.join(after, KEYS).filter("gl_balance <> after")
     row = gap.first()
     assert gap.count() == 1 and row.after == row.gl_balance * Decimal("0.9")
     moves = spark.createDataFrame(

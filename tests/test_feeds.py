@@ -60,7 +60,9 @@ def test_missing_sources_are_named_together(spark, sources):
     assert "general_ledger" not in str(error.value)
 
 
-@pytest.mark.parametrize("text", [GL.replace("100.50", "many"), GL.replace("gl_balance", "balance")])
+@pytest.mark.parametrize(
+    "text", [GL.replace("100.50", "many"), GL.replace("gl_balance", "balance")]
+)
 def test_bad_values_and_headers_fail_the_read(spark, tmp_path, text):
     path = tmp_path / "gl.csv"
     path.write_text(text)

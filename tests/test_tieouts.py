@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from frames import by_product, detail, extract, ledger
+from frames import by_product, detail, dollars, extract, ledger
 from ledgertie.operators import offsets, tieouts
 from ledgertie.sources.schemas import KEYS
 
@@ -140,7 +140,7 @@ def test_partners_agree_with_comparing_every_pair(spark, partners):
                 -5 if number % 3 else 5
             )
             status = "PASS" if rng.random() < 0.2 else "BREAK"
-            rows.append((entity, f"P{number:03d}", Q, Decimal(amount).quantize(Decimal("0.01")), status))
+            rows.append((entity, f"P{number:03d}", Q, dollars(amount), status))
     flagged = spark.createDataFrame(
         rows, "entity string, product string, quarter string, variance decimal(38,2), status string"
     )

@@ -104,7 +104,8 @@ def test_long_trend(results):
 def test_filter_values_and_counts(feeds, results):
     values = report.distinct_values(feeds[0], "quarter").collect()
     assert [row.quarter for row in values] == [Q, Q2, Q3]
-    counts = {row.result: (row.result_rows, row.breaks) for row in report.break_counts(results).collect()}
+    rows = report.break_counts(results).collect()
+    counts = {row.result: (row.result_rows, row.breaks) for row in rows}
     assert counts == {
         "gl_vs_subledger": (6, 3),
         "gl_vs_regulatory_extract": (9, 4),
