@@ -287,6 +287,13 @@ def _money(amount: str) -> str:
     )
 
 
+# CRC-32 of the ASCII text in column ``named``, bit by bit.
+_CRC32 = """xor(list_reduce(
+    [4294967295] || [ascii(ch)::BIGINT FOR ch IN string_split(named, '')],
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
 def _graded(select: str) -> str:
     """``select`` over both tie-outs: {flag}, {key} and {name} are replaced."""
     sides = [("flag1", "key1", "gl_vs_subledger"), ("flag2", "key2", "gl_vs_regulatory_extract")]
@@ -447,6 +454,10 @@ _ON_ORDERS = {
         AS extract_balance,
       'H.' || left(product, 1) AS schedule_code, {_RUN_DATE} AS extract_run_date
       FROM gl LEFT JOIN timing {_BY} LEFT JOIN mapping {_BY}""",
+    "account_labels": f""" SELECT {_KEY},
+      'GL-H' || left(product, 1) || '-' || ({_CRC32} % 9000 + 1000) AS gl_account,
+      CAST({_RUN_DATE} - 8 AS DATE) AS as_of_date
+      FROM (SELECT *, entity || '|' || product AS named FROM gl)""",
     "grade_missed": f" SELECT * EXCLUDE (verdict) FROM ({_MISSED})",
     "grade_spurious": f" SELECT * EXCLUDE (verdict) FROM ({_SPURIOUS})",
     "grade_verdicts": _VERDICTS,
