@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgertie.functions.labels import REPLAY_SUFFIX, cents, from_cents
 from ledgertie.operators.ordered import mark_until, positions
-from ledgertie.sources.session import materialise, small_side
+from ledgertie.sources.session import materialise
 
 
 def _units(weight: Column, decimals: int) -> Column:
@@ -36,7 +36,7 @@ def apportion_exact(
     )
     sums = materialise(weighed.groupBy(*keys).agg(F.sum("_w").alias("_sum")))
     shared = materialise(
-        weighed.join(small_side(sums), keys)
+        weighed.join(sums, keys)
         .withColumn("_product", F.col("_cents") * F.col("_w"))
         .withColumn("_share", F.expr("_product div _sum"))
         .withColumn("_order", -(F.col("_product") % F.col("_sum")))
@@ -47,7 +47,7 @@ def apportion_exact(
             (F.max("_cents") - F.sum("_share")).cast("bigint").alias("_left")
         )
     )
-    counted = shared.join(small_side(left_over), keys).withColumn("_one", F.lit(1))
+    counted = shared.join(left_over, keys).withColumn("_one", F.lit(1))
     marked = mark_until(counted, keys, ["_order", id_col], "_one", "_left", mark="_extra")
     amount = from_cents(F.col("_share") + F.col("_extra").cast("bigint"))
     return marked.withColumn(part, amount).drop(
@@ -63,9 +63,9 @@ def not_positive(df: DataFrame, part: str = "part") -> DataFrame:
 def with_target(detail: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
     """Detail with its account's target; accounts without one keep NULL and are left alone.
 
-    ``targets`` is counted and then joined, so give a stored table or a cheap query on one.
+    ``targets`` has a row per account; Spark joins it by its size.
     """
-    return detail.join(small_side(targets), keys, "left")
+    return detail.join(targets, keys, "left")
 
 
 def drop_tail_until(

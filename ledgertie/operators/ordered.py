@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgertie.sources.session import materialise, small_side
+from ledgertie.sources.session import materialise
 
 CHUNK = "_chunk"
 
@@ -77,7 +77,7 @@ def cut_points(
     row = F.struct(*order)
     edge = F.min(row) if descending else F.max(row)
     cut = (
-        chunked.join(small_side(crossing), [*keys, CHUNK])
+        chunked.join(crossing, [*keys, CHUNK])
         .withColumn("_before", F.col("_start") + _before(keys, "_size", direction))
         .filter(F.col("_before") < F.col("_goal"))
         .groupBy(*keys)
@@ -103,7 +103,7 @@ def mark_until(
     inside = here >= F.col("_cut") if descending else here <= F.col("_cut")
     taken = F.col("_any").isNotNull() & (F.col("_cut").isNull() | inside)
     return (
-        df.join(small_side(cuts), keys, "left")
+        df.join(cuts, keys, "left")
         .withColumn(mark, F.coalesce(taken, F.lit(False)))
         .drop("_cut", "_any")
     )
@@ -127,7 +127,7 @@ def positions(
         )
     )
     return (
-        chunked.join(small_side(starts), [*keys, CHUNK])
+        chunked.join(starts, [*keys, CHUNK])
         .withColumn(name, F.col("_before") + F.col("_at") - F.col("_first"))
         .drop(CHUNK, "_at", "_first", "_before")
     )

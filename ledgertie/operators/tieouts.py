@@ -22,7 +22,7 @@ from ledgertie.functions.variance import (
 from ledgertie.operators.offsets import PARTNER, offset_partner
 from ledgertie.operators.rollups import duplicate_ids, rollup_balance, rollup_to_grain
 from ledgertie.sources.schemas import KEYS, PERIOD, PRODUCT
-from ledgertie.sources.session import materialise, small_side
+from ledgertie.sources.session import materialise
 
 
 def report_order(result: DataFrame, keys: list[str], period: str = PERIOD) -> DataFrame:
@@ -206,7 +206,7 @@ def reconcile_filed(
         F.col(PARTNER),
         F.col("variance"),
     )
-    paired = small_side(materialise(partners(flagged, keys, product)))
+    paired = materialise(partners(flagged, keys, product))
     result = (
         flagged.join(paired, keys, "left")
         .withColumn("root_cause", cause)

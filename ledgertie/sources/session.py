@@ -1,51 +1,41 @@
-"""Cutting lineage in the shared folder, and broadcasts behind a check of size."""
+"""Tables written in the shared folder, to cut lineage and to give Spark true sizes."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 100_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder: the one the cluster names in ``spark.checkpoint.dir``.
+    """This run's own folder inside the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    A local session without that setting uses its warehouse folder; any other session
+    without it is refused. The folder goes when the session's JVM ends.
     """
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="ledgertie-checkpoint-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/ledgertie-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for written tables beside the checkpoints."""
+    """A new path for a written table in this run's folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the files.
-
-    Used where two branches must see the very same partitions, where rows are read
-    more than once, and where a small table is counted before it is joined.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a materialised table for broadcast if it has at most ``rows`` rows.
+def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and continue from the files.
 
-    A larger table is returned as it is: the join then shuffles, and adaptive
-    execution splits a hot key of the other side.
+    Used where two branches must see the very same rows and where rows are read more
+    than once. The files keep column statistics and sizes, so Spark itself can choose
+    between a broadcast and a shuffle when the table is joined.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from frames import dollars
 from ledgertie.operators import allocate, ordered
-from ledgertie.sources import session
 
 LOANS = "account string, n bigint, amount decimal(18,2), target decimal(18,2), load_batch_id string"
 
@@ -58,15 +57,6 @@ def test_marks_agree_with_a_loop_when_accounts_span_chunks(spark, many_chunks, d
     assert found == taken_by_loop(rows, descending)
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_marks_with_and_without_broadcast(spark, many_chunks, monkeypatch, limit):
-    monkeypatch.setattr(ordered, "small_side", lambda df: session.small_side(df, limit))
-    rows, df = loans(spark, SIZES, 9)
-    marked = ordered.mark_until(df, ["account"], ["n"], "amount", "target")
-    found = {(r.account, r.n) for r in marked.filter("taken").collect()}
-    assert found == taken_by_loop(rows, False)
-
-
 def test_hot_account_is_spread_over_chunks(spark, many_chunks):
     rows, df = loans(spark, {"hot": 6000, "a": 100, "b": 100})
     spread = df.orderBy("account", "n").groupBy(F.spark_partition_id()).count().collect()
@@ -149,11 +139,3 @@ def test_parts_have_to_be_positive(spark):
     df = spark.createDataFrame(rows, LOANS)
     parts = allocate.apportion_exact(df, ["account"], "target", "amount", "n")
     assert allocate.not_positive(parts).count() == 1
-
-
-def test_small_side_checks_the_size(spark):
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(session.small_side(spark.range(10), 10))
-    assert not hinted(session.small_side(spark.range(11), 10))
