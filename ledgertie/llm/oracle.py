@@ -134,8 +134,28 @@ FROM (SELECT *, unnest(range(1, times + 1)) AS copy FROM drawn)
 """
 
 
+_DIGITS = ", ".join(
+    f"('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')[(v{i} >> {shift}) % 32 + 1]"
+    for i in range(8)
+    for shift in (15, 10, 5, 0)
+)
+_VALUES = ", ".join(
+    f"CAST('0x' || substr(sha1(payload), {5 * i + 1}, 5) AS BIGINT) AS v{i}" for i in range(8)
+)
+ARCHIVES = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, payload, min(page_id) OVER (PARTITION BY payload) AS low, {_VALUES} FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  concat({_DIGITS}) AS payload_digest,
+  CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = low THEN NULL ELSE low END AS refers_to
+FROM d
+"""
+
+
 def statements() -> dict[str, str]:
     return {
+        "op7_warc_archives": ARCHIVES,
         "op6_line_dedup": LINES,
         "op9_source_mixing": MIXING,
         "op10_ngram_jaccard_join": NEAR_DUPLICATES,

@@ -7,8 +7,17 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgertie.llm import decontaminate, jaccard, line_dedup, mixing, substrings
+from ledgertie.llm import (
+    decontaminate,
+    fingerprints,
+    jaccard,
+    line_dedup,
+    mixing,
+    substrings,
+    warc,
+)
 from ledgertie.llm.tables import documents, read
+from ledgertie.sources.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -19,10 +28,20 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(found)
 
 
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, folder))
+
+
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, folder))
 
 
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    archive = scratch_path(spark, "archive")
+    warc.write_archive(read(spark, folder, "pages"), archive)
+    return warc.read_archive(spark, archive)
+
+
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(documents(spark, folder))
 
@@ -37,7 +56,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_benchmark_contamination": op1,
+    "op5_document_fingerprints": op5,
     "op6_line_dedup": op6,
+    "op7_warc_archives": op7,
     "op8_repeated_substrings": op8,
     "op9_source_mixing": op9,
     "op10_ngram_jaccard_join": op10,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,13 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
+def constants(values: Sequence[int | None], kind: str) -> Column:
+    """An array of many constants, kept short in the plan."""
+    held = ",".join("" if value is None else str(value) for value in values)
+    cells = F.transform(F.split(F.lit(held), ","), lambda cell: F.when(cell != "", cell))
+    return cells.cast(f"array<{kind}>")
+
+
 @dataclass(frozen=True)
 class RangeParts:
     """Consecutive ranges of ids: equal steps from ``low``, and the range of each step."""
@@ -42,11 +50,11 @@ class RangeParts:
     def column(self, name: str) -> Column:
         """The number of the range a row lies in; nulls lie in the first."""
         cell = F.expr(f"(`{name}` - {self.low}L) div {self.step}L").cast("int")
-        held = F.element_at(F.lit(list(self.parts)), cell + 1)
+        held = F.element_at(constants(self.parts, "int"), cell + 1)
         return F.when(F.col(name).isNull(), F.lit(0)).otherwise(held)
 
 
-def range_parts(ids: DataFrame, column: str, rows: int, cells: int = 16_384) -> RangeParts:
+def range_parts(ids: DataFrame, column: str, rows: int, cells: int = 65_536) -> RangeParts:
     """Ranges of ids that hold about ``rows`` rows each, as far as ``cells`` steps tell.
 
     The ids are counted in at most ``cells`` equal steps between the least and the
