@@ -68,7 +68,7 @@ def _sharing_a_half(lines: DataFrame) -> DataFrame:
         ]
 
     keys = lines.select(
-        "h", "g", F.explode(F.array(*halves(size), *halves(size - 1))).alias("key")
+        "h", F.explode(F.array(*halves(size), *halves(size - 1))).alias("key")
     )
     shared = (
         keys.groupBy("key")
@@ -76,7 +76,7 @@ def _sharing_a_half(lines: DataFrame) -> DataFrame:
         .filter("low <> high")
         .select("key")
     )
-    return keys.join(shared, "key", "left_semi").select("h", "g").distinct()
+    return keys.join(shared, "key", "left_semi").select("h").distinct()
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -172,24 +172,18 @@ def removed_lines(
     """Lines that an earlier line equals up to one edit (doc, no)."""
     lines = _lines(docs, id_col, text_col, min_chars)
     place = F.struct("doc", "no")
-    distinct = lines.groupBy("h", "g").agg(
-        F.min(place).alias("first"), F.count("*").alias("n"), F.max("line").alias("line")
-    )
-    sharing = _sharing_a_half(distinct)
+    sharing = materialise(_sharing_a_half(lines), "sharing")
+    distinct = lines.groupBy("h", "g").agg(F.min(place).alias("first"), F.max("line").alias("line"))
     compared = materialise(
-        distinct.join(sharing, ["h", "g"], "left_semi").select(
-            "h", "first", "line", F.length("line").alias("size")
-        ),
-        "compared",
+        distinct.join(sharing, "h", "left_semi").withColumn("size", F.length("line")), "compared"
     )
     near = materialise(_earlier_neighbours(compared), "near")
-    repeated = lines.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    repeated = repeated.filter("n > 1").select("h", "first")
-    cuts = near.select("h", F.col("near").alias("first")).unionByName(repeated)
-    cuts = materialise(cuts.groupBy("h").agg(F.min("first").alias("keeps")), "cuts")
-    return lines.select("h", "doc", "no").join(cuts, "h").filter(place > F.col("keeps")).select(
-        "doc", "no"
-    )
+    near = compared.join(near, "h").select("h", "g", F.col("near").alias("first"))
+    repeated = lines.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    repeated = repeated.filter("n > 1").drop("n")
+    cuts = near.unionByName(repeated).groupBy("h", "g").agg(F.min("first").alias("keeps"))
+    later = lines.select("h", "g", "doc", "no").join(materialise(cuts, "cuts"), ["h", "g"])
+    return later.filter(place > F.col("keeps")).select("doc", "no")
 
 
 def dedup_lines(
