@@ -7,10 +7,10 @@ full windows around it are grouped by their words, and where the smallest docume
 a group comes before the own one, the window is a repeat. Windows that overlap or touch
 make up the maximal repeats, whose words go.
 
-Two things keep this linear. Only windows whose least block hash occurs in two documents
-are indexed or probed; equal windows have equal least hashes, so no repeat is lost. And
-hits never meet in pairs: a hash is grouped with the least and greatest document that
-has it and with the chunks of documents to tell, each at most once.
+Two things keep this linear. Only windows whose least hash of a few words occurs in two
+documents are indexed or probed; equal windows have equal least hashes, so no repeat is
+lost. And hits never meet in pairs: documents are taken in chunks, a chunk sends each
+hash once with its least document, and is told the least document of all chunks.
 
 Words are runs of anything but blank, tab, newline, vertical tab, form feed and carriage
 return. Defined results: a null text has no words; a document without id takes no part
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgertie.llm.tables import id_and_text, materialise
@@ -40,6 +40,7 @@ from ledgertie.llm.text import (
 )
 
 WINDOW = 50
+ANCHOR = 8  # words of which a window's least hash is taken
 CHUNK_WORDS = 1_000_000
 SCAN = "doc_id long, n_words long, sha256 string, anchors array<long>"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -61,13 +62,14 @@ class Windows:
     def __init__(self, words: Words, window: int):
         self.words, self.window = words, window
         self.block = (window + 1) // 2
+        anchor = min(ANCHOR, self.block)
         n = len(words.hashes)
         if n < window:
             self.starts = np.zeros(0, np.int64)
             return
-        first = np.arange(n - self.block + 1)
-        self.blocks = span_hashes(words.hashes, first, first + self.block, WINDOW_BASE)
-        least = _rolling_least(self.blocks, window - self.block + 1)
+        first = np.arange(n - anchor + 1)
+        anchors = span_hashes(words.hashes, first, first + anchor, WINDOW_BASE + 64)
+        least = _rolling_least(anchors, window - anchor + 1)
         last = words.firsts[1:][words.texts] - window
         self.starts = np.flatnonzero(np.arange(n) <= last)
         self.least = least[self.starts]
@@ -75,6 +77,11 @@ class Windows:
     def keep(self, chosen: np.ndarray) -> None:
         self.starts, self.least = self.starts[chosen], self.least[chosen]
 
+    def blocks(self) -> np.ndarray:
+        """Hashes of the rolling blocks from every word on that has enough words after it."""
+        first = np.arange(len(self.words.hashes) - self.block + 1)
+        return span_hashes(self.words.hashes, first, first + self.block, WINDOW_BASE)
+
     def probes(self) -> np.ndarray:
         """First words of all rolling blocks inside the windows."""
         marks = np.zeros(len(self.words.hashes) + 1, dtype=np.int64)
@@ -162,8 +169,8 @@ def _shared_windows(table: pa.Table, window: int) -> Iterator[tuple]:
         yield ids, data, words, windows
 
 
-def _extremes(keys: list[np.ndarray], docs: np.ndarray, flag: np.ndarray) -> list[np.ndarray]:
-    """Per key its least and greatest document and whether it is flagged anywhere."""
+def _folded(keys: list[np.ndarray], docs: np.ndarray, flag: np.ndarray) -> list[np.ndarray]:
+    """Per key its least document, whether it has others, and whether any is flagged."""
     order = np.lexsort((docs, *keys))
     keys, docs, flag = [key[order] for key in keys], docs[order], flag[order]
     fresh = np.ones(len(docs), dtype=bool)
@@ -171,8 +178,8 @@ def _extremes(keys: list[np.ndarray], docs: np.ndarray, flag: np.ndarray) -> lis
         fresh[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
     first = np.flatnonzero(fresh)
     last = np.concatenate([first[1:], [len(docs)]])[: len(first)] - 1
-    seen = np.maximum.reduceat(flag, first) if len(first) else flag
-    return [*(key[first] for key in keys), docs[first], docs[last], seen]
+    seen = np.logical_or.reduceat(flag, first) if len(first) else flag
+    return [*(key[first] for key in keys), docs[first], docs[first] < docs[last], seen]
 
 
 def _blocks(window: int):
@@ -184,14 +191,14 @@ def _blocks(window: int):
             if not len(windows.starts):
                 continue
             probes = windows.probes()
-            hashes.append(windows.blocks[probes].view(np.int64))
+            hashes.append(windows.blocks()[probes].view(np.int64))
             docs.append(ids[words.texts[probes]])
             aligned.append(words.places[probes] % windows.block == 0)
         joined = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (hashes, docs)]
         flag = np.concatenate(aligned) if aligned else np.zeros(0, bool)
-        block, low, high, seen = _extremes(joined[:1], joined[1], flag)
+        block, low, more, seen = _folded(joined[:1], joined[1], flag)
         chunk = np.full(len(block), key[0].as_py())
-        names = {"chunk": chunk, "block": block, "low": low, "high": high, "indexed": seen}
+        names = {"chunk": chunk, "block": block, "low": low, "more": more, "indexed": seen}
         return pa.table(names)
 
     return blocks
@@ -206,7 +213,7 @@ def _windows(window: int):
         for ids, _, words, windows in _shared_windows(table, window):
             if not len(windows.starts):
                 continue
-            marks = _among(windows.blocks.view(np.int64), hit)
+            marks = _among(windows.blocks().view(np.int64), hit)
             around = np.concatenate([[0], np.cumsum(marks)])
             reach = windows.starts + window - windows.block + 1
             windows.keep(around[reach] > around[windows.starts])
@@ -217,9 +224,9 @@ def _windows(window: int):
         empty = np.zeros(0, np.int64)
         keys = [np.concatenate(x) if x else empty for x in (firsts, seconds)]
         docs = np.concatenate(docs) if docs else empty
-        first, second, low, high, _ = _extremes(keys, docs, np.zeros(len(docs), bool))
+        first, second, low, more, _ = _folded(keys, docs, np.zeros(len(docs), bool))
         chunk = np.full(len(first), key[0].as_py())
-        names = {"chunk": chunk, "first": first, "second": second, "low": low, "high": high}
+        names = {"chunk": chunk, "first": first, "second": second, "low": low, "more": more}
         return pa.table(names)
 
     return extend
@@ -304,29 +311,34 @@ def remove_repeats(
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(total // chunk_words + 1)).alias("chunk")
     chosen = materialise(docs.join(flagged, "doc_id").select("*", chunk), "chosen")
 
-    by_chunk = "chunk long, "
-    range_of = "low long, high long"
     probes = chosen.groupBy("chunk").applyInArrow(
-        _blocks(window), f"{by_chunk} block long, {range_of}, indexed boolean"
+        _blocks(window), "chunk long, block long, low long, more boolean, indexed boolean"
     )
-    hits = _told(probes, ["block"], F.max("indexed"))
-    full = chosen.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(
-        _windows(window), f"{by_chunk} first long, second long, {range_of}"
+    hits = _told(probes, "block").filter("indexed")
+    full = chosen.groupBy("chunk").cogroup(hits.groupBy("told")).applyInArrow(
+        _windows(window), "chunk long, first long, second long, low long, more boolean"
     )
-    repeats = _told(full, ["first", "second"])
-    removed = chosen.groupBy("chunk").cogroup(repeats.groupBy("chunk")).applyInArrow(
+    repeats = _told(full, "first", "second")
+    removed = chosen.groupBy("chunk").cogroup(repeats.groupBy("told")).applyInArrow(
         _removals(window), RESULT
     )
     return clean.unionByName(removed)
 
 
-def _told(found: DataFrame, keys: list[str], counts: Column | None = None) -> DataFrame:
-    """Keys that two documents have, told to each chunk that has them, with the least one."""
-    grouped = found.groupBy(*keys).agg(
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.collect_set("chunk").alias("chunks"),
-        (F.lit(True) if counts is None else counts).alias("counts"),
+def _told(found: DataFrame, *keys: str) -> DataFrame:
+    """Keys that two documents have, with the least one, for each chunk that has them.
+
+    A chunk has a key once, so a window holds at most as many rows as there are chunks.
+    """
+    alike = Window.partitionBy(*keys)
+    marks = {"indexed": F.max("indexed").over(alike)} if "indexed" in found.columns else {}
+    known = found.withColumns(
+        {
+            "least": F.min("low").over(alike),
+            "most": F.max("low").over(alike),
+            "more": F.max("more").over(alike),
+            **marks,
+        }
     )
-    alike = grouped.filter((F.col("low") < F.col("high")) & F.col("counts"))
-    return alike.select(*keys, "low", F.explode("chunks").alias("chunk"))
+    shared = known.filter(F.col("more") | (F.col("least") < F.col("most")))
+    return shared.select(*keys, F.col("least").alias("low"), F.col("chunk").alias("told"), *marks)
