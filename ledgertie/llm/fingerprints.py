@@ -123,13 +123,16 @@ def _with_next(docs: DataFrame, part_rows: int) -> DataFrame:
     least = placed.groupBy("part").agg(F.min(F.struct("doc_id")).getField("doc_id").alias("id"))
     firsts = dict(least.toLocalIterator())  # a row per range
     count = parts.count
-    first = F.element_at(
-        constants([firsts.get(part) for part in range(count)], "long"), F.col("part") + 1
-    )
+    # ids without a value come first and lie in the first range
+    no_id = firsts.get(0) is None
+    known = constants([firsts.get(part) or 0 for part in range(count)], "long")
+    first = F.col("doc_id") == F.element_at(known, F.col("part") + 1)
+    if no_id:
+        first = F.when(F.col("part") == 0, F.col("doc_id").isNull()).otherwise(first)
     before = F.pmod(F.col("part") + count - 1, F.lit(count))
     own = F.struct(F.col("part").alias("part"), F.lit(0).alias("follows"))
     also = F.struct(before.alias("part"), F.lit(1).alias("follows"))
-    places = F.when(F.col("doc_id").eqNullSafe(first), F.array(own, also)).otherwise(F.array(own))
+    places = F.when(first, F.array(own, also)).otherwise(F.array(own))
     return (
         placed.select("doc_id", "text", F.explode(places).alias("place"))
         .select("place.part", "place.follows", "doc_id", "text")

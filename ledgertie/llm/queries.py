@@ -14,6 +14,8 @@ from ledgertie.llm import (
     line_dedup,
     mixing,
     substrings,
+    token_counts,
+    toxicity,
     warc,
 )
 from ledgertie.llm.tables import documents, read
@@ -28,6 +30,21 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(found)
 
 
+def tokenizer() -> str:
+    """Where the installed vocabulary file lies; its path is a parameter of the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, folder), tokenizer())
+
+
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(documents(spark, folder), read(spark, folder, "labels"))
+
+
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, folder))
 
@@ -56,6 +73,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_benchmark_contamination": op1,
+    "op2_token_counts": op2,
+    "op4_toxicity": op4,
     "op5_document_fingerprints": op5,
     "op6_line_dedup": op6,
     "op7_warc_archives": op7,
