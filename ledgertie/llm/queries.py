@@ -7,12 +7,14 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from ledgertie.llm import (
     decontaminate,
     fingerprints,
     jaccard,
     line_dedup,
     mixing,
+    pii,
     substrings,
     token_counts,
     toxicity,
@@ -41,6 +43,10 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, folder), tokenizer())
 
 
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(documents(spark, folder))
+
+
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(documents(spark, folder), read(spark, folder, "labels"))
 
@@ -74,6 +80,7 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_benchmark_contamination": op1,
     "op2_token_counts": op2,
+    "op3_personal_data": op3,
     "op4_toxicity": op4,
     "op5_document_fingerprints": op5,
     "op6_line_dedup": op6,
@@ -81,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op8_repeated_substrings": op8,
     "op9_source_mixing": op9,
     "op10_ngram_jaccard_join": op10,
+    "pipeline": corpus_pipeline.run,
 }
 
 
