@@ -36,8 +36,8 @@ from ledgertie.llm.text import PLAIN_WORDS, Words, chunks, mix, words_of
 
 FOLDS, HELD_OUT, CURVE_FOLD = 4, 2, 3
 WORD_BITS = 20
-CELL_BITS = 22
-RANGES = 256  # the model is put together in so many tasks, by the bigram's first word
+CELL_BITS = 21
+RANGES = 64  # the model is put together in so many tasks, by the bigram's first word
 CURVE_ROWS = 20_000  # labelled rows, at most about, that fit the curve
 DISCOUNT = 10.0  # a bigram or word has to be seen more often than this to count by itself
 HISTORY = 300.0  # a class has to have a word this often to tell what follows it
@@ -217,10 +217,12 @@ def _model(gathered: DataFrame) -> Model | None:
 
 def _evidence(docs: DataFrame, model: Model, extra: str = "") -> DataFrame:
     """Per document its number of words and its differences by length: all, the strong."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    packed = {name: _packed(held.ravel()) for name, held in vars(model).items()}
+    shared = docs.sparkSession.sparkContext.broadcast(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
+        arrays = {name: _unpacked(x, np.float32).reshape(-1, 2) for name, x in shared.value.items()}
+        held = Model(**arrays)
         for batch in batches:
             for row, end, data, offsets in chunks(batch):
                 words = words_of(data, offsets, PLAIN_WORDS)
