@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 from ledgertie.llm.tables import id_and_text
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IN_EMAIL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-@")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The domain of an email; the part before the @ is found by walking left from it.
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+# A match never begins or ends inside a digit run, so runs are taken whole and only once.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 STRETCH = re.compile(r"[+(]?[0-9][0-9+(). -]{6,}[0-9]")
@@ -40,6 +43,8 @@ SAMPLE = 400  # documents, at most, whose stretches fit the weights
 ROUNDS = 60
 FEATURES = 9
 TYPES = ("ip", "card", "phone")
+NUMBERS = (0, 1)  # types that begin with a digit
+STARTS_OF = {"+": (2,)} | dict.fromkeys("(). -", ())  # types by first character
 RESULT = (
     "doc_id long, n_email long, n_ip long, n_card long, n_phone long, "
     "base_sha256 string, spans string"
@@ -67,16 +72,17 @@ def valid(kind: str, text: str) -> bool:
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
-    """Matches of the pattern, sought only in the run of its characters around each @."""
-    at = text.find("@")
+    """Matches of the pattern: each has one @, so every @ is looked at once, from the left."""
+    at, free = text.find("@"), 0
     while at >= 0:
-        start, end = at, at + 1
-        while start and text[start - 1] in IN_EMAIL:
+        start = at
+        while start > free and text[start - 1] in LOCAL:
             start -= 1
-        while end < len(text) and text[end] in IN_EMAIL:
-            end += 1
-        yield from (m.span() for m in EMAIL.finditer(text, start, end))
-        at = text.find("@", end)
+        domain = DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            yield start, domain.end()
+        free = domain.end() if domain else at + 1
+        at = text.find("@", free)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -125,7 +131,7 @@ def segment_features(stretch: str, start: int, end: int, kind: str) -> np.ndarra
 
 
 class Lattice:
-    """All segments of a stretch: (first unit, end unit, type, features); type -1 is none."""
+    """Segments of a short stretch to fit: (first unit, end unit, type, features); -1 is none."""
 
     def __init__(self, stretch: str):
         self.units = units_of(stretch)
@@ -142,20 +148,6 @@ class Lattice:
     def scores(self, weights: np.ndarray) -> list[float]:
         return [0.0 if t < 0 else float(weights[t] @ held) for _, _, t, held in self.arcs]
 
-    def best(self, weights: np.ndarray) -> list[tuple[str, int, int]]:
-        """The segments of the best segmentation, as spans of the stretch."""
-        top, back = [0.0] + [-np.inf] * len(self.units), [None] * (len(self.units) + 1)
-        for arc, score in zip(self.arcs, self.scores(weights), strict=True):
-            if top[arc[0]] + score > top[arc[1]]:
-                top[arc[1]], back[arc[1]] = top[arc[0]] + score, arc
-        at, found = len(self.units), []
-        while at:
-            i, j, t, _ = back[at]
-            if t >= 0:
-                found.append((TYPES[t], self.units[i][0], self.units[j - 1][1]))
-            at = i
-        return found[::-1]
-
     def slope(self, weights: np.ndarray, gold: set[tuple[str, int, int]]) -> np.ndarray:
         """Gradient of the log-likelihood of the segmentation ``gold``."""
         n, scores = len(self.units), self.scores(weights)
@@ -175,6 +167,34 @@ class Lattice:
         return slope
 
 
+def best(stretch: str, weights: np.ndarray) -> list[tuple[str, int, int]]:
+    """The segments of the best segmentation, as spans of ``stretch``.
+
+    A segment spans at most MOST_UNITS units, so time and memory grow with the length.
+    """
+    units = units_of(stretch)
+    top, back = [0.0], [(0, -1)]
+    for j in range(1, len(units) + 1):
+        end = units[j - 1][1]
+        score, step = top[j - 1], (j - 1, -1)
+        if stretch[end - 1].isdigit():
+            for i in range(max(0, j - MOST_UNITS), j):
+                start = units[i][0]
+                for t in STARTS_OF.get(stretch[start], NUMBERS):
+                    held = segment_features(stretch, start, end, TYPES[t])
+                    if held is not None and top[i] + weights[t] @ held > score:
+                        score, step = top[i] + float(weights[t] @ held), (i, t)
+        top.append(score)
+        back.append(step)
+    at, found = len(units), []
+    while at:
+        i, t = back[at]
+        if t >= 0:
+            found.append((TYPES[t], units[i][0], units[at - 1][1]))
+        at = i
+    return found[::-1]
+
+
 def stretches(text: str) -> Iterator[tuple[int, str]]:
     for m in STRETCH.finditer(text):
         yield m.start(), m.group()
@@ -204,15 +224,22 @@ def added_spans(
     text: str, base: list[tuple[str, int, int]], weights: np.ndarray
 ) -> list[tuple[str, int, int]]:
     """Spans of the best segmentations that no base span overlaps."""
+    spans = {(a, b) for _, a, b in base}
+    covered: list[list[int]] = []  # the union of the base spans
+    for a, b in sorted(spans):
+        if covered and a <= covered[-1][1]:
+            covered[-1][1] = max(b, covered[-1][1])
+        else:
+            covered.append([a, b])
+    starts = [a for a, _ in covered]
     found = []
     for start, stretch in stretches(text):
-        end = start + len(stretch)
-        near = [(a, b) for _, a, b in base if a < end and b > start]
-        if near == [(start, end)]:
+        if (start, start + len(stretch)) in spans:
             continue
-        for kind, a, b in Lattice(stretch).best(weights):
+        for kind, a, b in best(stretch, weights):
             a, b = a + start, b + start
-            if not any(a < d and b > c for c, d in near):
+            before = bisect_left(starts, b) - 1  # the last that begins before the end
+            if before < 0 or covered[before][1] <= a:
                 found.append((kind, a, b))
     return found
 
