@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgertie.functions.labels import REPLAY_SUFFIX, cents, from_cents
 from ledgertie.operators.ordered import mark_until, positions
 from ledgertie.sources.session import materialise
 
 
-def _units(weight: Column, decimals: int) -> Column:
-    scaled = weight.cast(f"decimal(18,{decimals})") * 10**decimals
-    return scaled.cast("decimal(18,0)")
+def _with_units(df: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """``df`` with its weights as whole numbers ``_w``, in proportion within an account.
+
+    Whole numbers and decimals of up to 18 digits keep their own scale; other weights
+    count relative to the account's greatest, at 15 digits.
+    """
+    kind = df.schema[weight].dataType
+    if isinstance(kind, T.IntegralType):
+        return df.withColumn("_w", F.col(weight).cast("decimal(19,0)"))
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        scaled = F.col(weight).cast("decimal(18,%d)" % kind.scale) * F.lit(10**kind.scale)
+        return df.withColumn("_w", scaled.cast("decimal(19,0)"))
+    most = df.groupBy(*keys).agg(F.max(F.col(weight).cast("double")).alias("_most"))
+    share = F.when(F.col("_most") > 0, F.col(weight).cast("double") / F.col("_most")).otherwise(0.0)
+    units = F.rint(share * 1e15).cast("bigint").cast("decimal(19,0)")
+    return df.join(most, keys).withColumn("_w", units).drop("_most")
 
 
 def apportion_exact(
@@ -22,25 +36,27 @@ def apportion_exact(
     weight: str,
     id_col: str,
     part: str = "part",
-    weight_decimals: int = 2,
 ) -> DataFrame:
     """Split each account's ``total`` over its rows by ``weight``; the parts sum exactly.
 
-    Every row gets its share rounded down to the cent, and the cents left over go
-    one each to the largest remainders, ties by ``id_col``. ``total`` is the same
-    on all rows of an account; weights count at ``weight_decimals`` places. The
-    rows are written once with their shares, which are costly and read four times.
+    Every row gets its share rounded down to the cent, also below zero, and the cents
+    left over go one each to the largest remainders, ties by ``id_col``. ``total`` is
+    the same on all rows of an account; weights are not negative. Where they are all
+    zero the parts are NULL and ``not_positive`` names the rows. The rows are written
+    once with their shares, which are costly and read four times.
     """
-    weighed = df.withColumn("_w", _units(F.col(weight), weight_decimals)).withColumn(
+    weighed = _with_units(df, keys, weight).withColumn(
         "_cents", cents(F.col(total)).cast("decimal(19,0)")
     )
-    sums = materialise(weighed.groupBy(*keys).agg(F.sum("_w").alias("_sum")))
+    sums = weighed.groupBy(*keys).agg(F.sum("_w").alias("_sum"))
+    sums = materialise(sums.withColumn("_sum", F.when(F.col("_sum") > 0, F.col("_sum"))))
     shared = materialise(
         weighed.join(sums, keys)
         .withColumn("_product", F.col("_cents") * F.col("_w"))
-        .withColumn("_share", F.expr("_product div _sum"))
-        .withColumn("_order", -(F.col("_product") % F.col("_sum")))
-        .drop("_product", "_w", "_sum")
+        .withColumn("_rest", F.pmod("_product", "_sum"))
+        .withColumn("_share", F.expr("(_product - _rest) div _sum"))
+        .withColumn("_order", -F.col("_rest"))
+        .drop("_product", "_rest", "_w", "_sum")
     )
     left_over = materialise(
         shared.groupBy(*keys).agg(
@@ -56,8 +72,8 @@ def apportion_exact(
 
 
 def not_positive(df: DataFrame, part: str = "part") -> DataFrame:
-    """Rows whose part is not above zero; every loan has to carry a balance."""
-    return df.filter(F.col(part) <= 0)
+    """Rows whose part is absent or not above zero; every loan has to carry a balance."""
+    return df.filter(F.col(part).isNull() | (F.col(part) <= 0))
 
 
 def with_target(detail: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:

@@ -228,18 +228,17 @@ def repeated_accounts(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 def missing_modes(key: DataFrame) -> DataFrame:
     """Kinds of break that the register does not contain."""
-    kinds = F.explode(F.array(*(F.lit(kind) for kind in sorted(FAILURE_MODES))))
-    present = key.agg(F.collect_set("break_type").alias("present"))
-    return present.select("present", kinds.alias("break_type")).filter(
-        ~F.array_contains("present", F.col("break_type"))
-    ).select("break_type")
+    kinds = [(kind,) for kind in sorted(FAILURE_MODES)]
+    known = key.sparkSession.createDataFrame(kinds, "break_type string")
+    return known.join(key.select("break_type").distinct(), "break_type", "left_anti")
 
 
 def thin_margins(
     key: DataFrame, threshold: float = DEFAULT_THRESHOLD, factor: float = 2.0
 ) -> DataFrame:
-    """Expected breaks too close to the threshold to grade detection by."""
-    return key.filter(F.abs("planted_variance_pct") <= factor * threshold)
+    """Expected breaks too close to the threshold to grade detection by, or without a percentage."""
+    pct = F.col("planted_variance_pct")
+    return key.filter(pct.isNull() | (F.abs(pct) <= factor * threshold))
 
 
 def unbalanced_pairs(key: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgertie.functions.labels import break_label, fraction_of
-from ledgertie.functions.variance import total, total_or_zero, variance_pct
+from ledgertie.functions.variance import total, variance_pct
 from ledgertie.operators.trend import DETAIL_TIE_OUT, FILED_TIE_OUT
 from ledgertie.sources.schemas import KEYS, PERIOD, PRODUCT, REGISTER
 
@@ -32,10 +32,22 @@ MAPPING_TARGET_NOTE = "loans mis-tagged into %s out of %s (target side of the pa
 def apply_deltas(
     df: DataFrame, deltas: DataFrame, keys: list[str], amt: str, delta: str = "delta"
 ) -> DataFrame:
-    """Balances plus the sum of their deltas; an account without one keeps its balance."""
-    summed = deltas.groupBy(*keys).agg(F.sum(delta).alias("_delta"))
-    moved = total(F.col(amt)) + total_or_zero(F.col("_delta"))
-    return df.join(summed, keys, "left").withColumn(amt, total(moved)).drop("_delta")
+    """Balances plus the sum of their deltas; an account without one keeps its balance.
+
+    A delta for an account without a row opens that account, with NULL in the other
+    columns, so what was taken from one account always arrives at another.
+    """
+    summed = deltas.groupBy(*keys).agg(total(F.sum(delta)).alias("_delta"))
+    held, moved = total(F.col(amt)), F.col("_delta")
+    after = total(F.coalesce(held + moved, held, moved))
+    return df.join(summed, keys, "full").withColumn(amt, after).drop("_delta")
+
+
+def unmatched_scenarios(
+    df: DataFrame, scenarios: DataFrame, keys: list[str] = KEYS
+) -> DataFrame:
+    """Scenarios whose account has no balance to take from; they change nothing."""
+    return scenarios.join(df.select(*keys), keys, "left_anti")
 
 
 def timing_deltas(

@@ -328,6 +328,23 @@ _KPIS = f""" SELECT (SELECT count(*) FROM gl) AS accounts_in_scope,
     AS break_rate_pct,
   CAST(sum(break_amount) AS DECIMAL(38,2)) AS total_break_amount,
   CAST(max(break_amount) AS DECIMAL(38,2)) AS largest_break FROM breaks"""
+_SCOPE = """entity IN ('ASIA', 'EUROPE') AND "quarter" IN ('1996Q1', '1997Q2', '1998Q3')"""
+# Products modulo the sum of weights taken at or above zero, so that shares round down.
+_SIGNED = f""", weighed AS (
+    SELECT l.loan_id, {_KEY}, CAST(if(l.pn % 2 = 1, -l.bal, l.bal) * 100 AS HUGEINT) AS cents,
+           CAST(if(a.c = 5, 0, l.k % 97 + 1) AS HUGEINT) AS w
+    FROM loans l JOIN (SELECT {_KEY}, c FROM acc) a {_BY}),
+  summed AS (
+    SELECT *, nullif(CAST(sum(w) OVER (PARTITION BY {_KEY}) AS HUGEINT), 0) AS sw FROM weighed),
+  floored AS (SELECT *, ((cents * w) % sw + sw) % sw AS rest FROM summed),
+  ranked AS (
+    SELECT *, (cents * w - rest) // sw AS share,
+           row_number() OVER (PARTITION BY {_KEY} ORDER BY rest DESC, loan_id) AS place
+    FROM floored),
+  parts AS (
+    SELECT loan_id, {_KEY},
+      CAST((share + (place <= cents - sum(share) OVER (PARTITION BY {_KEY}))::INT)::DECIMAL(38,2)
+        / 100 AS DECIMAL(38,2)) AS part FROM ranked)"""
 _MULTISET = """ SELECT loan_id, CAST(ifnull(a, 0) AS BIGINT) AS left_rows,
   CAST(ifnull(b, 0) AS BIGINT) AS right_rows
   FROM (SELECT loan_id, count(*) AS a FROM base GROUP BY ALL)
@@ -400,6 +417,14 @@ _ON_ORDERS = {
     "break_ranking_filed": f""" SELECT {_KEY}, variance, root_cause, variance_pct,
       offsetting_product FROM t2 WHERE status = 'BREAK'""",
     "filter_values": ' SELECT DISTINCT "quarter" FROM gl',
+    "filter_entities": " SELECT DISTINCT entity FROM gl",
+    "kpi_summary_scoped": _KPIS.replace("FROM gl", f"FROM gl WHERE {_SCOPE}").replace(
+        "FROM breaks", f"FROM breaks WHERE {_SCOPE}"
+    ),
+    "table_sample": """ SELECT loan_id, entity, product, "quarter", loan_amount, load_batch_id
+      FROM sub ORDER BY loan_id, load_batch_id LIMIT 3""",
+    "apportion_signed": f" {_SIGNED} SELECT * FROM parts",
+    "not_apportioned": f" {_SIGNED} SELECT * FROM parts WHERE part IS NULL OR part <= 0",
     "break_counts": """, counted AS (
       SELECT 'gl_vs_subledger' AS result, count(*) AS result_rows,
              count(*) FILTER (status = 'BREAK') AS breaks FROM t1
@@ -446,14 +471,21 @@ _ON_ORDERS = {
       CAST(gl.gl_balance + ifnull(delta, 0) AS DECIMAL(38,2)) AS gl_balance
       FROM gl LEFT JOIN timing {_BY}""",
     "reclass_balance": f""" SELECT {_KEY},
-      CAST(gl.gl_balance + ifnull(delta, 0) AS DECIMAL(38,2)) AS gl_balance
-      FROM gl LEFT JOIN mapping {_BY}""",
+      CAST(ifnull(gl.gl_balance, 0) + ifnull(delta, 0) AS DECIMAL(38,2)) AS gl_balance
+      FROM gl FULL JOIN mapping {_BY}""",
+    "reclass_totals": """ SELECT entity, "quarter",
+      CAST(sum(gl_balance) AS DECIMAL(38,2)) AS total_before,
+      CAST(sum(gl_balance) AS DECIMAL(38,2)) AS total_after FROM gl GROUP BY ALL""",
+    "unmatched_scenarios": f""" SELECT {_KEY}, 'timing_difference' AS kind
+      FROM (SELECT * FROM acc WHERE c = 8) ANTI JOIN gl {_BY}
+      UNION ALL SELECT {_KEY}, 'mapping_error'
+      FROM (SELECT entity, source AS product, "quarter" FROM moves) ANTI JOIN gl {_BY}""",
     "expected_breaks": " SELECT * FROM register",
     "filed_from_gl": f""" SELECT {_KEY},
-      CAST(gl.gl_balance + ifnull(timing.delta, 0) + ifnull(mapping.delta, 0) AS DECIMAL(38,2))
-        AS extract_balance,
+      CAST(ifnull(gl.gl_balance, 0) + ifnull(timing.delta, 0) + ifnull(mapping.delta, 0)
+        AS DECIMAL(38,2)) AS extract_balance,
       'H.' || left(product, 1) AS schedule_code, {_RUN_DATE} AS extract_run_date
-      FROM gl LEFT JOIN timing {_BY} LEFT JOIN mapping {_BY}""",
+      FROM gl FULL JOIN timing {_BY} FULL JOIN mapping {_BY}""",
     "account_labels": f""" SELECT {_KEY},
       'GL-H' || left(product, 1) || '-' || ({_CRC32} % 9000 + 1000) AS gl_account,
       CAST({_RUN_DATE} - 8 AS DATE) AS as_of_date
@@ -517,7 +549,7 @@ _ON_ORDERS = {
       ('mapping_error'), ('timing_difference')) v(break_type)
       WHERE break_type NOT IN (SELECT break_type FROM register)""",
     "register_thin_margins": f""" SELECT break_id, {_KEY}, planted_variance_pct FROM register
-      WHERE abs(planted_variance_pct) <= 1""",
+      WHERE abs(planted_variance_pct) <= 1 OR planted_variance_pct IS NULL""",
     "register_unbalanced": """ SELECT break_id, count(*) AS sides,
       count(*) FILTER (expected_direction = 'under') AS "under",
       count(*) FILTER (expected_direction = 'over') AS "over",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +15,17 @@ from ledgertie.functions.labels import (
     money_label,
     period_end,
 )
+from ledgertie.functions.variance import total
 from ledgertie.operators import allocate, offsets, quality, report, rollups, tieouts, trend, whatif
 from ledgertie.operators.ordered import mark_until
 from ledgertie.sources import bindings
 from ledgertie.sources.bindings import Feeds
-from ledgertie.sources.feeds import export, load_feeds, profile, read_table
+from ledgertie.sources.feeds import export, load_feeds, profile, read_table, sample_rows
 from ledgertie.sources.schemas import FEEDS, KEYS
 from ledgertie.sources.session import materialise, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
+SCOPE = (["1996Q1", "1997Q2", "1998Q3"], ["ASIA", "EUROPE"])  # what a report is filtered to
 
 
 def orders_feeds(spark: SparkSession, folder: str) -> Feeds:
@@ -82,8 +85,7 @@ def _presence(f: Feeds) -> DataFrame:
 
 
 def _filtered(f: Feeds) -> DataFrame:
-    scoped = report.scope(_detail(f), ["1996Q1", "1997Q2", "1998Q3"], ["ASIA", "EUROPE"])
-    return report.breaks_only(scoped)
+    return report.breaks_only(report.scope(_detail(f), *SCOPE))
 
 
 def _cause_counts(f: Feeds) -> DataFrame:
@@ -128,6 +130,17 @@ def _apportion(f: Feeds) -> DataFrame:
     return parts.select("loan_id", *KEYS, "part")
 
 
+def _apportion_signed(f: Feeds) -> DataFrame:
+    """Totals of either sign over fractional weights, which are all zero on code 5."""
+    signed = total(F.col("bal") * F.when(F.col("pn") % 2 == 1, -1).otherwise(1))
+    accounts = f.accounts.select(*KEYS, signed.alias("target"), "c")
+    thousandths = F.when(F.col("c") == 5, 0).otherwise(F.col("k") % 97 + 1)
+    weight = (thousandths * F.lit(Decimal("0.001"))).cast("decimal(10,3)")
+    loans = allocate.with_target(f.base, accounts, KEYS).withColumn("weight", weight)
+    parts = allocate.apportion_exact(loans, KEYS, "target", "weight", "loan_id")
+    return parts.select("loan_id", *KEYS, "part")
+
+
 def _batches(f: Feeds) -> DataFrame:
     numbered = allocate.assign_batches(f.base, KEYS, ["k"])
     return numbered.select(
@@ -167,6 +180,28 @@ def _reclass(f: Feeds) -> DataFrame:
     return moved.select(*KEYS, "gl_balance")
 
 
+def _reclass_totals(f: Feeds) -> DataFrame:
+    """Totals per entity and quarter before and after the moves, which net to zero."""
+    by = ["entity", "quarter"]
+    moved = whatif.reclass_balance(f.gl, bindings.mapping_moves(f))
+    before, after = (
+        df.groupBy(*by).agg(total(F.sum("gl_balance")).alias(name))
+        for df, name in ((f.gl, "total_before"), (moved, "total_after"))
+    )
+    return before.join(after, by, "full")
+
+
+def _unmatched_scenarios(f: Feeds) -> DataFrame:
+    """Adjustments and moves out of accounts that the ledger does not have."""
+    moves = bindings.mapping_moves(f).withColumnRenamed("source", "product")
+    kinds = {"timing_difference": bindings.timing_scenarios(f), "mapping_error": moves}
+    timing, mapping = (
+        whatif.unmatched_scenarios(f.gl, scenarios).select(*KEYS, F.lit(kind).alias("kind"))
+        for kind, scenarios in kinds.items()
+    )
+    return timing.unionByName(mapping)
+
+
 def _run_date():
     return F.date_add(period_end(F.col("quarter")), 8)
 
@@ -402,16 +437,24 @@ def registry() -> dict[str, Query]:
         "break_ranking": lambda f: report.rank_breaks(_detail(f), "variance_pct"),
         "break_ranking_filed": lambda f: report.rank_breaks(_filed(f), "variance"),
         "filter_values": lambda f: report.distinct_values(f.gl, "quarter"),
+        "filter_entities": lambda f: report.distinct_values(f.gl, "entity"),
+        "kpi_summary_scoped": lambda f: report.kpis(
+            *(report.scope(flagged, *SCOPE) for flagged in _flags(f))
+        ),
         "break_counts": _status_counts,
         "money_labels": _kpi_labels,
         "money_labels_totals": _scaled_labels,
         # allocation and what-if
         "apportion": _apportion,
+        "apportion_signed": _apportion_signed,
+        "not_apportioned": lambda f: allocate.not_positive(_apportion_signed(f)),
         "assign_batches": _batches,
         "drop_tail": _drop_tail,
         "replay_head": _replay_head,
         "adjust_balance": _adjust,
         "reclass_balance": _reclass,
+        "reclass_totals": _reclass_totals,
+        "unmatched_scenarios": _unmatched_scenarios,
         "expected_breaks": _register,
         "filed_from_gl": _filed_from_gl,
         "account_labels": _account_labels,
@@ -445,6 +488,7 @@ def registry() -> dict[str, Query]:
         "load_checks": _load_checks,
         "loaded_tieout": _loaded_tieout,
         "table_profile": _profile,
+        "table_sample": lambda f: sample_rows(f.sub_ledger, 3, ["loan_id", "load_batch_id"]),
         "content_digest": lambda f: quality.content_digest(f.sub_ledger),
     }
     lineitem: dict[str, Callable[[Feeds], DataFrame]] = {

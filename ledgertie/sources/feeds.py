@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,7 +69,7 @@ def check_row_count(source: DataFrame, target: DataFrame, name: str = "table") -
     expected, loaded = source.count(), target.count()
     if expected != loaded:
         raise RuntimeError(
-            f"row count mismatch loading {name}: source has {expected:,} rows, target {loaded:,}"
+            f"{name}: the written copy holds {loaded:,} rows where {expected:,} were read"
         )
     return loaded
 
@@ -138,12 +138,9 @@ def export(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def fetch(df: DataFrame, max_rows: int = 100_000) -> pd.DataFrame:
-    """A report-sized result as pandas through Arrow; raises rather than truncates."""
-    frame = df.limit(max_rows + 1).toArrow().to_pandas()
-    if len(frame) > max_rows:
-        raise ValueError(f"result has more than {max_rows:,} rows; export it instead")
-    return frame
+def fetch(df: DataFrame) -> Iterator[Row]:
+    """All rows of a result; the driver holds a partition at a time, and the one after it."""
+    return df.toLocalIterator(prefetchPartitions=True)
 
 
 def profile(tables: dict[str, DataFrame]) -> DataFrame:
@@ -166,6 +163,6 @@ def profile(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, (described(n, df) for n, df in tables.items()))
 
 
-def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:
-    """Any ``n`` rows, for looking at a table."""
-    return df.limit(n)
+def sample_rows(df: DataFrame, n: int = 3, order: list[str] | None = None) -> DataFrame:
+    """``n`` rows for looking at a table: the first by ``order``, or any."""
+    return (df.orderBy(*order) if order else df).limit(n)

@@ -139,3 +139,21 @@ def test_parts_have_to_be_positive(spark):
     df = spark.createDataFrame(rows, LOANS)
     parts = allocate.apportion_exact(df, ["account"], "target", "amount", "n")
     assert allocate.not_positive(parts).count() == 1
+
+
+def test_apportioned_parts_sum_for_any_sign_and_scale(spark):
+    rows = [("down", i, Decimal("-1.00"), Decimal("1.000")) for i in range(3)]
+    rows += [("fine", i, Decimal("10.00"), Decimal(f"0.00{w}")) for i, w in enumerate("13")]
+    rows += [("none", i, Decimal("5.00"), Decimal("0.000")) for i in range(2)]
+    schema = "account string, n bigint, target decimal(18,2), weight decimal(10,3)"
+    df = spark.createDataFrame(rows, schema)
+    for weight in ("decimal(10,3)", "double"):
+        weighed = df.withColumn("weight", F.col("weight").cast(weight))
+        parts = allocate.apportion_exact(weighed, ["account"], "target", "weight", "n")
+        found = defaultdict(list)
+        for r in parts.orderBy("account", "n").collect():
+            found[r.account].append(r.part)
+        assert found["down"] == [Decimal("-0.33"), Decimal("-0.33"), Decimal("-0.34")]
+        assert found["fine"] == [Decimal("2.50"), Decimal("7.50")]
+        assert found["none"] == [None, None]
+        assert allocate.not_positive(parts).count() == 5

@@ -237,3 +237,16 @@ def test_adjust_and_reclass_keep_other_accounts(spark, close):
         gl.select(*KEYS, total(F.col("gl_balance")).alias("b")),
         moved.select(*KEYS, F.col("gl_balance").alias("b")),
     ).count() == 4
+
+
+def test_moves_keep_the_total_where_an_account_is_absent(spark):
+    rows = [("North", "Home", "2025Q1", Decimal("100.00"))]
+    gl = spark.createDataFrame(rows, "entity string, product string, quarter string, gl_balance decimal(18,2)")
+    moves = spark.createDataFrame(
+        [("North", "2025Q1", "Home", "Auto", 1), ("North", "2025Q1", "Cash", "Home", 2)],
+        ["entity", "quarter", "source", "target", "break_no"],
+    ).select("*", F.lit(Decimal("0.1")).alias("fraction"))
+    moved = {r["product"]: r.gl_balance for r in whatif.reclass_balance(gl, moves).collect()}
+    assert moved == {"Home": Decimal("90.00"), "Auto": Decimal("10.00")}
+    left = whatif.unmatched_scenarios(gl, moves.withColumnRenamed("source", "product"))
+    assert [r.break_no for r in left.collect()] == [2]
