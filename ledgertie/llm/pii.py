@@ -249,13 +249,28 @@ def _joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for kind, a, b in ordered)
 
 
+def _drawn(docs: DataFrame, sample: int) -> list[str]:
+    """What surrounds the digit stretches of ``sample`` documents, drawn by hash.
+
+    The least hashes are chosen first, so no text travels that is not drawn; rows with
+    equal hashes are copies and count once.
+    """
+    keyed = docs.filter(F.col("text").rlike(r"[0-9][0-9 ().-]{6,}[0-9]")).select(
+        F.xxhash64("doc_id", "text").alias("key"), "text"
+    )
+    least = keyed.select("key").distinct().orderBy("key").limit(sample).agg(F.max("key")).first()[0]
+    part = r"regexp_extract_all(text, '.{0,40}[0-9][0-9+(). -]{6,}[0-9].{0,40}', 0)"
+    chosen = keyed.filter(F.col("key") <= F.lit(least)).select(
+        "key", F.concat_ws(" ", F.expr(part)).alias("part")
+    )
+    rows = chosen.groupBy("key").agg(F.min("part").alias("part")).orderBy("key").collect()
+    return [row["part"] for row in rows]
+
+
 def find_personal_data(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Base spans and all spans of each document (doc_id, text)."""
     docs = id_and_text(docs)
-    drawn = docs.filter(F.col("text").rlike(r"[0-9][0-9 ().-]{6,}[0-9]"))
-    drawn = drawn.select("text", F.xxhash64("doc_id").alias("order")).orderBy("order", "text")
-    part = F.concat_ws(" ", F.expr(r"regexp_extract_all(text, '.{0,40}[0-9][0-9+(). -]{6,}[0-9].{0,40}', 0)"))
-    texts = [row["part"] for row in drawn.limit(sample).select(part.alias("part")).collect()]
+    texts = _drawn(docs, sample)
     weights = fit(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
