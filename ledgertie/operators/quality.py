@@ -168,17 +168,12 @@ def not_footing(
 # --- agreement of the trend -------------------------------------------------------
 
 
-def trend_mismatches(
-    trend: DataFrame,
-    detail: DataFrame,
-    filed: DataFrame,
-    keys: list[str] = KEYS,
-    period: str = PERIOD,
-    tolerance: float = 0.02,
+def period_breaks(
+    detail: DataFrame, filed: DataFrame, keys: list[str] = KEYS, period: str = PERIOD
 ) -> DataFrame:
-    """Periods whose trend line differs from the breaks of the two results."""
+    """Per period, the breaks of the two results: accounts, numbers and absolute amount."""
     accounts = [key for key in keys if key != period]
-    own = (
+    return (
         stack_breaks(detail, filed, keys)
         .groupBy(period)
         .agg(
@@ -188,6 +183,18 @@ def trend_mismatches(
             total(F.sum("break_amount")).alias("own_amount"),
         )
     )
+
+
+def trend_mismatches(
+    trend: DataFrame,
+    detail: DataFrame,
+    filed: DataFrame,
+    keys: list[str] = KEYS,
+    period: str = PERIOD,
+    tolerance: float = 0.02,
+) -> DataFrame:
+    """Periods whose trend line differs from the breaks of the two results."""
+    own = period_breaks(detail, filed, keys, period)
     pairs = {
         "accounts_with_breaks": "own_accounts",
         "subledger_breaks": "own_subledger",

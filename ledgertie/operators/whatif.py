@@ -213,10 +213,7 @@ def assemble_register(*parts: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 def universe(df: DataFrame, dims: list[str] = KEYS) -> DataFrame:
     """Every account the reporting dimensions allow: each value of one with each of the others.
 
-    The values are gathered in one pass, combined before the shuffle, and unrolled
-    one dimension after the other; the result is as large as the universe it names.
+    The product is what this operator is for, so it is an open cross join. Its sides are
+    the distinct values of one dimension each, never rows of the feed.
     """
-    lists = df.agg(*(F.collect_set(dim).alias(dim) for dim in dims))
-    for dim in dims[:-1]:
-        lists = lists.withColumn(dim, F.explode(dim)).repartition(dim)
-    return lists.withColumn(dims[-1], F.explode(dims[-1])).select(*dims)
+    return reduce(DataFrame.crossJoin, (df.select(dim).distinct() for dim in dims))

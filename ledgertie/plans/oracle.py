@@ -6,9 +6,28 @@ two tie-outs) and one SELECT over them.
 
 from __future__ import annotations
 
-from ledgertie.functions.causes import DETAIL_ACTIONS, FILED_ACTIONS
-from ledgertie.operators import whatif
-from ledgertie.sources.bindings import PART_TYPES
+# Texts that results must carry, and the product types of the line items.
+_DETAIL_ACTIONS = {
+    "NONE": "No action",
+    "FEED_NOT_RECEIVED": "Escalate to source-system owner: no detail received at all",
+    "LATE_FEED": "Confirm load cutoff and re-run the missing batches",
+    "DUPLICATE_LOAD": "Identify the replayed batch_id and reverse the duplicate load",
+    "UNCLASSIFIED": "Manual review",
+}
+_FILED_ACTIONS = {
+    "NONE": "No action",
+    "MISSING_FROM_EXTRACT": "GL balance never reached the filing - re-run the extract",
+    "NOT_IN_GL": "Filed balance has no GL support - investigate before submission",
+    "MAPPING_ERROR": "Correct the product mapping and refile the affected schedules",
+    "TIMING_DIFFERENCE": "Late GL adjustment - re-run the extract after the posting date",
+    "UNEXPLAINED_OVERSTATEMENT": "Manual review",
+}
+_LATE_FEED_NOTE = "%d loans missed the load cutoff and never reached the sub-ledger"
+_DUPLICATE_LOAD_NOTE = "batch replayed: %d loans double-counted"
+_TIMING_NOTE = "GL adjustment posted after the %s extract run; no offsetting entry elsewhere"
+_MAPPING_SOURCE_NOTE = "loans mis-tagged out of %s into %s (source side of the pair)"
+_MAPPING_TARGET_NOTE = "loans mis-tagged into %s out of %s (target side of the pair)"
+_PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 _ORDERS_BASE = """
 base AS (
@@ -27,7 +46,7 @@ _LINEITEM_BASE = f"""
 base AS (
   SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS loan_id,
          l_orderkey AS k, r_name AS entity, r_regionkey AS rk, p_type AS product,
-         list_position({PART_TYPES!r}, p_type) AS pn,
+         list_position({_PART_TYPES!r}, p_type) AS pn,
          year(l_shipdate) || 'Q' || quarter(l_shipdate) AS "quarter",
          year(l_shipdate) * 4 + quarter(l_shipdate) AS qn,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS loan_amount
@@ -120,7 +139,7 @@ flag1 AS (
   )
 ),
 t1 AS (
-  SELECT *, {_actions(DETAIL_ACTIONS)}
+  SELECT *, {_actions(_DETAIL_ACTIONS)}
   FROM (
     SELECT *, CASE WHEN status = 'PASS' THEN 'NONE'
                    WHEN loan_count = 0 THEN 'FEED_NOT_RECEIVED'
@@ -155,7 +174,7 @@ partner AS (
 ),
 t2 AS (
   SELECT entity, product, "quarter", gl_balance, extract_balance, variance, variance_pct,
-         status, root_cause, offsetting_product, {_actions(FILED_ACTIONS)}
+         status, root_cause, offsetting_product, {_actions(_FILED_ACTIONS)}
   FROM (
     SELECT *, CASE WHEN status = 'PASS' THEN 'NONE'
                    WHEN no_extract THEN 'MISSING_FROM_EXTRACT'
@@ -248,26 +267,41 @@ register AS (
   FROM (
     SELECT entity, product, "quarter", gl_balance, break_no, 'late_feed' AS break_type,
            'under' AS direction, -amount AS amount,
-           printf('{whatif.LATE_FEED_NOTE}', n) AS notes
+           printf('{_LATE_FEED_NOTE}', n) AS notes
     FROM taken WHERE c = 1
     UNION ALL
     SELECT entity, product, "quarter", gl_balance, break_no, 'duplicate_load', 'over', amount,
-           printf('{whatif.DUPLICATE_LOAD_NOTE}', n) FROM taken WHERE c = 2
+           printf('{_DUPLICATE_LOAD_NOTE}', n) FROM taken WHERE c = 2
     UNION ALL
     SELECT entity, product, "quarter", gl_balance, break_no, 'timing_difference', 'under', delta,
-           printf('{whatif.TIMING_NOTE}', CAST(last_day(make_date(left("quarter", 4)::INT,
+           printf('{_TIMING_NOTE}', CAST(last_day(make_date(left("quarter", 4)::INT,
              right("quarter", 1)::INT * 3, 1)) + 8 AS VARCHAR))
     FROM timing
     UNION ALL
     SELECT entity, product, "quarter", gl_balance, break_no, 'mapping_error',
            if(product = source, 'under', 'over'), delta,
-           if(product = source, printf('{whatif.MAPPING_SOURCE_NOTE}', source, target),
-              printf('{whatif.MAPPING_TARGET_NOTE}', target, source))
+           if(product = source, printf('{_MAPPING_SOURCE_NOTE}', source, target),
+              printf('{_MAPPING_TARGET_NOTE}', target, source))
     FROM mapping
   )
 )"""
 
 _ORDERS = "WITH " + ",".join([_ORDERS_BASE, _FEEDS, _TIEOUTS, _WHAT_IF])
+# Balances of one entity in two rows, a hundred and the rest.
+_IN_TWO = """{name} AS (
+  SELECT * REPLACE (CAST(if(entity = '{entity}', {amount} - 100, {amount}) AS DECIMAL(38,2))
+                    AS {amount}) FROM {name}_whole
+  UNION ALL SELECT * REPLACE (CAST(100 AS DECIMAL(38,2)) AS {amount}) FROM {name}_whole
+  WHERE entity = '{entity}'
+),"""
+_SPLIT = _ORDERS
+for _name, _amount, _entity, _next in (
+    ("gl", "gl_balance", "ASIA", "sub"),
+    ("ext", "extract_balance", "EUROPE", "key1"),
+):
+    _two = _IN_TWO.format(name=_name, amount=_amount, entity=_entity)
+    _SPLIT = _SPLIT.replace(f"\n{_name} AS (", f"\n{_name}_whole AS (")
+    _SPLIT = _SPLIT.replace(f"\n{_next} AS (", f"\n{_two}\n{_next} AS (")
 _LINES = "WITH " + ",".join([_LINEITEM_BASE, _FEEDS, _TIEOUTS])
 
 _KEY = 'entity, product, "quarter"'
@@ -490,7 +524,8 @@ _ON_ORDERS = {
       'GL-H' || left(product, 1) || '-' || ({_CRC32} % 9000 + 1000) AS gl_account,
       CAST({_RUN_DATE} - 8 AS DATE) AS as_of_date
       FROM (SELECT *, entity || '|' || product AS named FROM gl)""",
-    "grade_missed": f" SELECT * EXCLUDE (verdict) FROM ({_MISSED})",
+    "grade_missed": " SELECT * EXCLUDE (verdict) FROM (%s)"
+    % _MISSED.replace("status = 'BREAK'", "status = 'BREAK' AND entity <> 'AFRICA'"),
     "grade_spurious": f" SELECT * EXCLUDE (verdict) FROM ({_SPURIOUS})",
     "grade_verdicts": _VERDICTS,
     "extra_break_rows": " "
@@ -524,13 +559,26 @@ _ON_ORDERS = {
       FROM t2 a LEFT JOIN t2 p ON p.entity = a.entity AND p."quarter" = a."quarter"
         AND p.product = a.offsetting_product AND p.root_cause = 'MAPPING_ERROR'
       WHERE a.root_cause = 'MAPPING_ERROR'""",
-    "two_sided_timing": f""" SELECT {_KEY}, variance, offsetting_product FROM t2
+    "two_sided_timing": f""" SELECT {_KEY}, variance, offsetting_product
+      FROM (SELECT * REPLACE (CAST(if(entity = 'ASIA', -variance, variance) AS DECIMAL(38,2))
+                              AS variance) FROM t2)
       WHERE root_cause = 'TIMING_DIFFERENCE'
         AND (offsetting_product IS NOT NULL OR variance >= 0)""",
     "footing_check": f""" SELECT {_KEY}, variance, k.product IS NOT NULL AS planted
       FROM flag1 f LEFT JOIN (SELECT * FROM key1) k {_BY}
       WHERE (variance <> 0) <> (k.expected_root_cause IS NOT NULL)""",
-    "trend_agreement": ' SELECT "quarter" FROM trend WHERE false',
+    "trend_agreement": """ SELECT "quarter", accounts_with_breaks, subledger_breaks,
+      extract_breaks, total_break_amount, own_accounts, own_subledger, own_extract, own_amount
+      FROM trend FULL JOIN (
+        SELECT "quarter", count(DISTINCT (entity, product)) AS own_accounts,
+          count(*) FILTER (detail) AS own_subledger, count(*) FILTER (NOT detail) AS own_extract,
+          CAST(sum(abs(variance)) AS DECIMAL(38,2)) AS own_amount
+        FROM (
+          SELECT entity, product, "quarter", variance, true AS detail FROM t1
+          WHERE root_cause <> 'NONE'
+          UNION ALL SELECT entity, product, "quarter", variance, false FROM t2
+          WHERE root_cause <> 'NONE')
+        GROUP BY ALL) USING ("quarter")""",
     "trend_mismatches": """ SELECT t."quarter",
         t.extract_breaks - a.n AS extract_breaks, t.extract_breaks AS own_extract,
         CAST(t.total_break_amount - a.amount AS DECIMAL(38,2)) AS total_break_amount,
@@ -547,20 +595,41 @@ _ON_ORDERS = {
       GROUP BY ALL HAVING count(*) > 1""",
     "register_missing_modes": """ SELECT * FROM (VALUES ('duplicate_load'), ('late_feed'),
       ('mapping_error'), ('timing_difference')) v(break_type)
-      WHERE break_type NOT IN (SELECT break_type FROM register)""",
+      WHERE break_type NOT IN (
+        SELECT break_type FROM register WHERE break_type <> 'mapping_error')""",
     "register_thin_margins": f""" SELECT break_id, {_KEY}, planted_variance_pct FROM register
       WHERE abs(planted_variance_pct) <= 1 OR planted_variance_pct IS NULL""",
     "register_unbalanced": """ SELECT break_id, count(*) AS sides,
       count(*) FILTER (expected_direction = 'under') AS "under",
       count(*) FILTER (expected_direction = 'over') AS "over",
       CAST(sum(planted_variance) AS DECIMAL(38,2)) AS net
-      FROM register WHERE break_type = 'mapping_error' GROUP BY break_id
+      FROM register WHERE break_type = 'mapping_error'
+        AND (entity <> 'EUROPE' OR expected_direction = 'under') GROUP BY break_id
       HAVING count(*) <> 2 OR sum(planted_variance) <> 0
         OR count(DISTINCT expected_direction) <> 2""",
-    "branch_overlap": f""" SELECT {_KEY} FROM gl
-      SEMI JOIN (SELECT * FROM ext ANTI JOIN gl {_BY}) x {_BY}""",
-    "form_differences": """ SELECT * FROM (VALUES ('full_join', 0::BIGINT), ('theta', 0::BIGINT))
-      v(form, differing_rows)""",
+    "branch_overlap": f""", g AS (
+      SELECT entity, if(entity = 'EUROPE', NULL, product) AS product, "quarter" FROM gl),
+    x AS (SELECT entity, if(entity = 'EUROPE', NULL, product) AS product, "quarter" FROM ext)
+      SELECT {_KEY} FROM g INTERSECT SELECT {_KEY} FROM x WHERE NOT EXISTS (
+        SELECT 1 FROM g
+        WHERE g.entity = x.entity AND g.product = x.product AND g."quarter" = x."quarter")""",
+    "form_differences": f""", paired AS (
+      SELECT {_KEY}, gl_balance, CAST(ifnull(extract_balance, 0) AS DECIMAL(38,2)) AS filed
+      FROM gl LEFT JOIN ext {_BY}
+      UNION ALL SELECT {_KEY}, 0, extract_balance FROM ext ANTI JOIN gl {_BY}),
+    joined AS (SELECT {_KEY}, gl_balance, extract_balance FROM flag2),
+    opposite AS (
+      SELECT f.entity, f.product, f."quarter", max(o.product) AS offsetting_product
+      FROM flag2 f JOIN flag2 o ON o.entity = f.entity AND o."quarter" = f."quarter"
+        AND o.variance = -f.variance AND o.product <> f.product
+      WHERE f.status = 'BREAK' AND o.status = 'BREAK' AND f.variance <> 0 GROUP BY ALL)
+      SELECT 'full_join' AS form,
+        (SELECT count(*) FROM (FROM paired EXCEPT ALL FROM joined))
+        + (SELECT count(*) FROM (FROM joined EXCEPT ALL FROM paired)) AS differing_rows
+      UNION ALL SELECT 'theta',
+        (SELECT count(*) FROM (FROM opposite EXCEPT ALL FROM partner))
+        + (SELECT count(*) FROM (FROM partner EXCEPT ALL FROM opposite))
+      UNION ALL SELECT 'unpaired', 2 * count(*) FROM partner""",
     "multiset_diff": _MULTISET,
     "account_difference": f""" SELECT {_KEY}, 'left' AS side FROM gl ANTI JOIN ext {_BY}
       UNION ALL SELECT {_KEY}, 'right' FROM ext ANTI JOIN gl {_BY}""",
@@ -568,12 +637,21 @@ _ON_ORDERS = {
       CROSS JOIN (SELECT DISTINCT product FROM gl) CROSS JOIN (SELECT DISTINCT "quarter" FROM gl)
       ANTI JOIN gl {_BY}""",
     "load_checks": """ SELECT *, source_rows = target_rows AND source_total = target_total
-        AS passed FROM (
+        AND nulls = 0 AS passed FROM (
       SELECT (SELECT count(*) FROM base) AS source_rows,
         (SELECT sum(loan_amount) FROM base) AS source_total, count(*) AS target_rows,
-        sum(loan_amount) AS target_total, 0::BIGINT AS nulls, 'sub_ledger' AS table_name FROM sub
-      UNION ALL SELECT count(*), sum(gl_balance), count(*), sum(gl_balance), 0,
-        'general_ledger' FROM gl)""",
+        sum(loan_amount) AS target_total,
+        6 * count(*) - count(loan_id) - count(entity) - count(product) - count("quarter")
+          - count(loan_amount) - count(load_batch_id) AS nulls,
+        'sub_ledger' AS table_name FROM sub
+      UNION ALL SELECT count(*), sum(gl_balance), count(*), sum(gl_balance),
+        count(*) FILTER (entity = 'AFRICA'), 'general_ledger' FROM gl
+      UNION ALL SELECT count(*), sum(extract_balance), count(*), sum(extract_balance),
+        4 * count(*) - count(entity) - count(product) - count("quarter")
+          - count(extract_balance), 'regulatory_extract' FROM ext)""",
+    "append_twice": f""" SELECT {_KEY}, count(*) AS rows
+      FROM (FROM gl UNION ALL FROM gl) GROUP BY ALL""",
+    "refresh_twice": f" SELECT {_KEY}, count(*) AS rows FROM gl GROUP BY ALL",
     "loaded_tieout": _T1,
     "table_profile": _profile(),
     "content_digest": f""" SELECT count(*) AS row_count,
@@ -595,6 +673,8 @@ def statements() -> dict[str, str]:
     return {
         **{name: _ORDERS + body for name, body in _ON_ORDERS.items()},
         **{name: _LINES + body for name, body in _ON_LINES.items()},
+        "tieout_detail_split": _SPLIT + _T1,
+        "tieout_filed_split": _SPLIT + _T2,
         "duplicate_ids": """
           SELECT l_returnflag, l_linestatus,
                  sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS balance, count(*) AS loan_count,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,14 +44,33 @@ def _mapped() -> Column:
     return (F.col("qn") * 5 + F.col("rk")) % 6 == 0
 
 
-
 @dataclass(frozen=True)
 class Feeds:
+    """What is derived from a base of loans; each part is made when it is first asked for."""
+
     base: DataFrame
-    accounts: DataFrame
-    gl: DataFrame
-    sub_ledger: DataFrame
-    extract: DataFrame
+
+    @cached_property
+    def accounts(self) -> DataFrame:
+        """Account totals as a written table.
+
+        Without it every use of ledger or extract would scan all loans again: their
+        filters are on the account key, so they sink below the grouping and no two
+        groupings are alike.
+        """
+        return materialise(_account_table(self.base), "accounts")
+
+    @cached_property
+    def gl(self) -> DataFrame:
+        return _ledger(self.accounts)
+
+    @cached_property
+    def sub_ledger(self) -> DataFrame:
+        return _detail(self.base)
+
+    @cached_property
+    def extract(self) -> DataFrame:
+        return _filed(self.accounts)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -218,16 +238,6 @@ def _filed(accounts: DataFrame) -> DataFrame:
     )
 
 
-def feeds(base: DataFrame) -> Feeds:
-    """The three feeds; ledger and extract come from one written table of accounts.
-
-    Without it every use of either would scan all loans again: their filters are on
-    the account key, so they sink below the grouping and no two groupings are alike.
-    """
-    accounts = materialise(_account_table(base))
-    return Feeds(base, accounts, _ledger(accounts), _detail(base), _filed(accounts))
-
-
 def detail_key(bound: Feeds) -> DataFrame:
     """Accounts on which the detail feed was spoilt, by the rules above."""
     some = F.col("planted_loans") > 0

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,14 +59,21 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def require_not_null(df: DataFrame, columns: list[str] | None = None) -> None:
     """Raise if any of the columns holds a NULL; Spark does not enforce NOT NULL itself."""
-    found = {name: n for name, n in null_counts(df, columns).first().asDict().items() if n}
+    _refuse_nulls(null_counts(df, columns).first().asDict())
+
+
+def _refuse_nulls(counts: dict[str, int]) -> None:
+    found = {name: n for name, n in counts.items() if n}
     if found:
         raise ValueError(f"NULL in columns that must not be: {found}")
 
 
 def check_row_count(source: DataFrame, target: DataFrame, name: str = "table") -> int:
     """Raise if the load dropped or doubled rows; return the rows loaded."""
-    expected, loaded = source.count(), target.count()
+    return _same_count(source.count(), target.count(), name)
+
+
+def _same_count(expected: int, loaded: int, name: str) -> int:
     if expected != loaded:
         raise RuntimeError(
             f"{name}: the written copy holds {loaded:,} rows where {expected:,} were read"
@@ -86,8 +93,9 @@ def refresh(df: DataFrame, target: str, partition_by: list[str] | None = None) -
 def replace_checked(df: DataFrame, target: str, name: str = "table") -> int:
     """Replace ``target`` only after the new copy is complete, counted and free of NULLs.
 
-    The copy is written beside the target and then renamed over it, so a failed
-    write or check leaves the previous table as it was. The two renames are not
+    The source is read once, counted as it is written, and the copy once for all checks.
+    It is written beside the target and then renamed over it, so a failed write or
+    check leaves the previous table as it was. The two renames are not
     one transaction on every file system; a table format gives that.
     """
     spark = df.sparkSession
@@ -96,10 +104,14 @@ def replace_checked(df: DataFrame, target: str, name: str = "table") -> int:
     staged_path, _ = _path(spark, f"{target}.staged-{tag}")
     previous_path, _ = _path(spark, f"{target}.previous-{tag}")
     try:
-        df.write.mode("error").parquet(staged_path.toString())
+        sent = Observation()
+        observed = df.observe(sent, F.count(F.lit(1)).alias("rows"))
+        observed.write.mode("error").parquet(staged_path.toString())
         staged = spark.read.parquet(staged_path.toString())
-        loaded = check_row_count(df, staged, name)
-        require_not_null(staged)
+        holes = [F.count_if(F.col(column).isNull()) for column in staged.columns]
+        rows, *nulls = staged.agg(F.count("*"), *holes).first()
+        loaded = _same_count(sent.get["rows"], rows, name)
+        _refuse_nulls(dict(zip(staged.columns, nulls, strict=True)))
     except Exception:
         files.delete(staged_path, True)
         raise

@@ -81,7 +81,7 @@ def test_nulls_are_reported_by_column(spark, tmp_path):
 
 def test_row_count_check(spark):
     assert feeds.check_row_count(spark.range(3), spark.range(3)) == 3
-    with pytest.raises(RuntimeError, match="source has 3 rows, target 2"):
+    with pytest.raises(RuntimeError, match="holds 2 rows where 3 were read"):
         feeds.check_row_count(spark.range(3), spark.range(2))
 
 

@@ -8,6 +8,7 @@ import pytest
 
 from frames import detail, extract, ledger
 from ledgertie.operators import offsets, quality, tieouts, trend
+from ledgertie.plans.queries import orders_feeds
 from ledgertie.sources.schemas import KEYS
 
 NEVER = ["CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow"]
@@ -82,6 +83,14 @@ def test_partner_search_never_compares_pairs(stored, partners):
     assert "partial_max" in text
 
 
-def test_universe_gaps_without_a_cross_join(stored):
+def test_universe_multiplies_distinct_values_only(stored):
     text = plan(quality.universe_gaps(stored["gl"]))
-    assert not any(word in text for word in NEVER)
+    assert text.count("CartesianProduct") == 2
+    assert all([key] in hash_keys(text) for key in KEYS)
+    assert not any(word in text for word in NEVER if word != "CartesianProduct")
+
+
+def test_feeds_are_made_on_first_use(spark):
+    bound = orders_feeds(spark, "/root/testdata/sf0.001")
+    assert bound.sub_ledger.columns and set(vars(bound)) == {"base", "sub_ledger"}
+    assert bound.gl.columns and "accounts" in vars(bound)

@@ -26,6 +26,27 @@ TYPES = {
 }
 
 
+# The universe is a product of sets; it alone may show one in its plan.
+PRODUCT = {"universe_gaps": ["CartesianProduct", "NestedLoopJoin"]}
+
+# Checks that run over planted faults, so an empty result would prove nothing.
+FINDS = {
+    "append_twice",
+    "branch_overlap",
+    "form_differences",
+    "grade_missed",
+    "load_checks",
+    "refresh_twice",
+    "register_missing_modes",
+    "register_unbalanced",
+    "tieout_detail_split",
+    "tieout_filed_split",
+    "trend_agreement",
+    "trend_mismatches",
+    "two_sided_timing",
+}
+
+
 @pytest.fixture(scope="module")
 def sql():
     return connect(FOLDER)
@@ -37,10 +58,11 @@ def test_query_agrees_with_sql(spark, sql, name):
     statement = contract.oracle_sql()[name]
     assert differences(result, sql, statement) == ""
     plan = result._jdf.queryExecution().executedPlan().toString()
-    assert not any(word in plan for word in NEVER)
+    assert not any(word in plan for word in NEVER if word not in PRODUCT.get(name, []))
     answer = sql.sql(statement)
     kinds = dict(zip(answer.columns, map(str, answer.types), strict=True))
     assert {f.name: TYPES[f.dataType.simpleString()] for f in result.schema} == kinds
+    assert name not in FINDS or answer.limit(1).fetchall()
 
 
 def test_every_query_has_a_counterpart():
