@@ -1,17 +1,22 @@
 """Toxicity by two Kneser-Ney models, one of toxic and one of ordinary documents.
 
-Both are bigram models over words with absolute discounting. A bigram backs off to the
-word's frequency in the class, and that to continuation counts that the classes share:
-in how many different contexts a word occurs at all. The weight of a back-off is shared
-too, so rare expressions are smoothed alike on both sides and an unknown one says
-nothing. A document's log-likelihoods are divided by its length and compared, over all
-words and over those alone that speak strongly for toxic text; a logistic curve turns
-the differences into a score.
-
-Words are numbered by hash into a fixed number of slots, and bigram counts into a fixed
-number of cells, so the model has a proven size: it is gathered from all labelled rows
-and broadcast to all tasks. Two of the three training folds count words, the third, in
-a bounded sample, fits the curve, which therefore sees likelihoods of unseen documents.
+Both are bigram models over words with absolute discounting. A
+bigram backs off to the word's frequency in the class, and that to continuation counts
+that the classes share: in how many different contexts a word occurs in any document,
+labelled or not. A
+document's log-likelihoods are divided by its length and compared, over all words and
+over those alone that speak strongly for toxic text; a logistic curve turns the
+differences into a score.
+
+Words and bigrams are told apart by 64-bit hashes, and their counts are tables that grow
+with the input. Documents are packed into chunks of whole texts. A chunk asks the bigram
+table, cut by hash, for its distinct bigrams, then the word table for its words; each
+answer holds the counts of the whole input. So no task holds the model, and no bigram
+travels more than once per chunk. The chunks are stored in buckets and stay there.
+
+All labelled rows count, the held-out ones apart. A bounded sample of them fits the
+curve, each document's own counts taken out of what it is compared with, so the curve
+sees likelihoods of unseen documents. 
 
 Labels are taken from rows whose crc32 of the id is not 2 modulo 4. Defined results: null
 counts as empty; a text without words gets the score of no evidence; rows with a null id
@@ -22,58 +27,50 @@ length.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgertie.llm.tables import id_and_text, materialise
-from ledgertie.llm.text import PLAIN_WORDS, Words, chunks, mix, words_of
+from ledgertie.llm.text import PLAIN_WORDS, chunks, mix, words_of
+from ledgertie.sources.session import scratch_path
 
 FOLDS, HELD_OUT, CURVE_FOLD = 4, 2, 3
-WORD_BITS = 20
-CELL_BITS = 21
-RANGES = 64  # the model is put together in so many tasks, by the bigram's first word
+CHUNK_WORDS = 2_000_000
+PART_WORDS = 2_000_000  # the tables are cut into a part for about so many words of text
+BUCKETS = 128
+ROUNDS = 4  # the bigram table is made in so many, each of which frees its shuffle
 CURVE_ROWS = 20_000  # labelled rows, at most about, that fit the curve
 DISCOUNT = 10.0  # a bigram or word has to be seen more often than this to count by itself
 HISTORY = 300.0  # a class has to have a word this often to tell what follows it
-STRONG = 2.0  # log-likelihood difference from which a word is evidence by itself
+STRONG = (2.0,)  # from which a word is evidence by itself
 THRESHOLD = 0.3
-START = (1 << WORD_BITS) - 1  # the slot before a text's first word
-RESULT = "doc_id long, held_out boolean, score double, predicted int"
+START = np.uint64(1)  # the word before a text's first
+PAIRS, SINGLES, SUMS = 0, 1, -1
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+CHUNK = (
+    "chunk long, size long, ids array<long>, counts binary, toxic binary, drawn binary, "
+    "words binary, sequence binary"
+)
+ASKED = "part int, chunk long, keys binary, counts binary"
+ANSWER = "chunk long, kind int, part int, held binary"
+SEEN = "doc_id long, n long, mean double, strong array<double>, toxic int, own array<double>"
 
 
 def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS))
 
 
-def bigrams(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of each word and of the word before it."""
-    word = (words.hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    before[words.firsts[:-1][words.counts > 0]] = START
-    return before, word
-
-
-def cell_of(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """A bigram's cell: its first word's range, then a hash."""
-    own = CELL_BITS - RANGES.bit_length() + 1
-    hashed = mix(((before << WORD_BITS) | word).astype(np.uint64)) >> np.uint64(64 - own)
-    return (range_of(before) << own) | hashed.astype(np.int64)
-
-
-def range_of(slot: np.ndarray) -> np.ndarray:
-    return slot % RANGES
-
-
 def _packed(values: np.ndarray) -> bytes:
     """Numbers byte plane by byte plane, compressed."""
-    return zlib.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
+    return zlib.compress(values.ravel().view(np.uint8).reshape(values.size, -1).T.tobytes(), 1)
 
 
 def _unpacked(cell: bytes, kind: type) -> np.ndarray:
@@ -82,176 +79,374 @@ def _unpacked(cell: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel()
 
 
-def _counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and their counts, added up."""
-    distinct, inverse = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(inverse, counts, len(distinct)).astype(np.int64)
-
-
-def _gather(labelled: DataFrame) -> DataFrame:
-    """Bigram counts of each class by range of the first word, a packed row per task."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(held: list) -> pa.RecordBatch:
-            keys, counts = _counted(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            part = range_of(keys >> (WORD_BITS + 1))
-            order = np.argsort(part, kind="stable")
-            keys, counts, part = keys[order], counts[order], part[order]
-            bounds = np.searchsorted(part, np.arange(RANGES + 1))
-            rows = np.flatnonzero(np.diff(bounds))
-            cut = [(bounds[r], bounds[r + 1]) for r in rows]
-            return pa.record_batch(
-                {
-                    "part": pa.array(rows.astype(np.int32)),
-                    "keys": pa.array([_packed(keys[a:b]) for a, b in cut], pa.binary()),
-                    "counts": pa.array(
-                        [_packed(counts[a:b].astype(np.int32)) for a, b in cut], pa.binary()
-                    ),
-                }
-            )
+def _matrix(cell: bytes, rows: int) -> np.ndarray:
+    return _unpacked(cell, np.int64).reshape(rows, -1)
+
 
-        held, size = [], 0
+def _chunk(name: int, parts: list) -> pa.RecordBatch:
+    """A row of whole documents: each word as its rank by frequency among the chunk's words."""
+    ids, toxic, drawn, counts, hashes = zip(*parts, strict=True)
+    counts = np.concatenate(counts).astype(np.int64)
+    words, places, times = np.unique(
+        np.concatenate(hashes), return_inverse=True, return_counts=True
+    )
+    order = np.argsort(-times, kind="stable")
+    rank = np.empty(len(words), np.int32)
+    rank[order] = np.arange(len(words), dtype=np.int32)
+    ids = pa.concat_arrays(ids)
+    row = {
+        "chunk": pa.array([name], pa.int64()),
+        "size": pa.array([len(places)], pa.int64()),
+        "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+    }
+    packed = {
+        "counts": counts,
+        "toxic": np.concatenate(toxic),
+        "drawn": np.concatenate(drawn),
+        "words": words[order],
+        "sequence": rank[places],
+    }
+    return pa.record_batch(row | {k: pa.array([_packed(v)], pa.binary()) for k, v in packed.items()})
+
+
+def _chunked(docs: DataFrame) -> DataFrame:
+    """All documents (doc_id, text, toxic, drawn) in chunks; toxic is -1 without a label."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
+            toxic, drawn = (
+                batch.column(k).to_numpy(zero_copy_only=False).astype(np.int8)
+                for k in ("toxic", "drawn")
+            )
             for row, end, data, offsets in chunks(batch):
                 words = words_of(data, offsets, PLAIN_WORDS)
-                before, word = bigrams(words)
-                kind = toxic[row:end][words.texts].astype(np.int64)
-                keys = (before << (WORD_BITS + 1)) | (word << 1) | kind
-                held.append(_counted(keys, np.ones(len(keys))))
-                size += len(held[-1][0])
-                if size > 1_500_000:
-                    yield flush(held)
-                    held, size = [], 0
+                ids = batch.column("doc_id")[row:end]
+                held.append((ids, toxic[row:end], drawn[row:end], words.counts, words.hashes))
+                size += len(words.hashes) + end - row
+                if size >= CHUNK_WORDS:
+                    yield _chunk(name, held)
+                    name, held, size = name + 1, [], 0
         if held:
-            yield flush(held)
-
-    return labelled.mapInArrow(count, "part int, keys binary, counts binary")
-
-
-def _merge(key: tuple, table: pa.Table) -> pa.Table:
-    """A range's part of the model: cells, histories, words and continuations."""
-    part = key[0].as_py()
-    keys = np.concatenate([_unpacked(x, np.int64) for x in table["keys"].to_pylist()])
-    counts = np.concatenate([_unpacked(x, np.int32) for x in table["counts"].to_pylist()])
-    keys, counts = _counted(keys, counts)
-    kind, word = keys & 1, (keys >> 1) & START
-    before = keys >> (WORD_BITS + 1)
-    cells = (1 << CELL_BITS) // RANGES
-    own = cell_of(before, word) - part * cells
-    told = {"cells": np.bincount(own * 2 + kind, counts, cells * 2).astype(np.float32)}
-    place = (before // RANGES) * 2 + kind
-    slots = (1 << WORD_BITS) // RANGES * 2
-    told["histories"] = np.bincount(place, counts, slots).astype(np.float32)
-    told["followers"] = np.bincount(place, minlength=slots).astype(np.float32)
-    told["words"] = np.bincount(word * 2 + kind, counts, 2 << WORD_BITS).astype(np.float32)
-    pairs = np.unique(keys >> 1) & START  # either class's bigrams, each once
-    told["contexts"] = np.bincount(pairs, minlength=1 << WORD_BITS).astype(np.float32)
-    names = list(told)
+            yield _chunk(name, held)
+
+    return docs.mapInArrow(pack, CHUNK)
+
+
+@dataclass
+class Chunk:
+    """A chunk's documents, its distinct words and bigrams, and where each word has its own.
+
+    Words are in the order of their hashes, the one before a text's first among them.
+    """
+
+    ids: pa.Array
+    counts: np.ndarray
+    toxic: np.ndarray
+    drawn: np.ndarray
+    words: np.ndarray
+    word: np.ndarray
+    before: np.ndarray
+    keys: np.ndarray  # distinct bigrams, sorted
+    pair: np.ndarray
+
+    @classmethod
+    def of(cls, row: pa.Table | pa.RecordBatch, at: int = 0) -> Chunk:
+        def column(name: str, kind: type) -> np.ndarray:
+            return _unpacked(row[name][at].as_py(), kind)
+
+        counts = column("counts", np.int64)
+        words, places = np.unique(
+            np.concatenate([column("words", np.uint64), [START]]), return_inverse=True
+        )
+        word = places[column("sequence", np.int32)]
+        before = np.empty_like(word)
+        before[1:] = word[:-1]
+        before[(np.cumsum(counts) - counts)[counts > 0]] = places[-1]
+        keys, pair = np.unique(mix(mix(words[before]) + words[word]), return_inverse=True)
+        return cls(
+            row["ids"][at].values,
+            counts,
+            column("toxic", np.int8),
+            column("drawn", np.int8),
+            words,
+            word,
+            before,
+            keys,
+            pair,
+        )
+
+    @property
+    def texts(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.counts)), self.counts)
+
+    def by_class(self, places: np.ndarray, size: int) -> list[np.ndarray]:
+        """How often each place occurs in ordinary and in toxic documents."""
+        kind = np.where(self.drawn > 0, -1, self.toxic)[self.texts]
+        return [np.bincount(places[kind == k], minlength=size) for k in (0, 1)]
+
+    def asks(
+        self, name: int, keys: np.ndarray, told: list, bits: int, turn: int = 0, turns: int = 1
+    ) -> pa.RecordBatch:
+        """A row per part with the sorted ``keys`` of this chunk in it, and what it tells.
+
+        Only of the parts whose turn it is.
+        """
+        told = np.stack(told).astype(np.int64)
+        part = (keys >> np.uint64(64 - bits)).astype(np.int64)
+        bounds = np.searchsorted(part, np.arange((1 << bits) + 1))
+        rows = np.flatnonzero(np.diff(bounds))
+        rows = rows[rows % turns == turn]
+        cut = [slice(bounds[r], bounds[r + 1]) for r in rows]
+        steps = np.diff(keys, prepend=np.uint64(0))
+        steps[bounds[rows]] = keys[bounds[rows]]  # a part begins with a whole key
+        return pa.record_batch(
+            {
+                "part": pa.array(rows.astype(np.int32)),
+                "chunk": pa.array([name] * len(rows), pa.int64()),
+                "keys": pa.array([_packed(steps[x]) for x in cut], pa.binary()),
+                "counts": pa.array([_packed(told[:, x]) for x in cut], pa.binary()),
+            }
+        )
+
+
+def _ask_pairs(stored: DataFrame, bits: int, turn: int) -> DataFrame:
+    """Each chunk's distinct bigrams with their counts of either class."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, name in enumerate(batch.column("chunk").to_pylist()):
+                held = Chunk.of(batch, at)
+                told = held.by_class(held.pair, len(held.keys))
+                yield held.asks(name, held.keys, told, bits, turn, ROUNDS)
+
+    return stored.mapInArrow(ask, ASKED)
+
+
+def _ask_words(stored: DataFrame, pairs: DataFrame, bits: int) -> DataFrame:
+    """Each chunk's words with what it adds to their rows of the word table.
+
+    These are, of either class, the word's count, its count as a history and its number
+    of followers, and the number of its contexts. A bigram adds to the last two in the
+    first chunk that has it.
+    """
+
+    def ask(row: pa.Table, answers: pa.Table) -> pa.Table:
+        held = Chunk.of(row)
+        size = len(held.words)
+        seen = _answers(answers, PAIRS, 3)
+        first = np.empty(len(held.keys), np.int64)
+        first[held.pair] = np.arange(len(held.pair))  # a place where each bigram occurs
+        before, word, new = held.before[first], held.word[first], seen[2] > 0
+        followers = [np.bincount(before[new & (seen[k] > 0)], minlength=size) for k in (0, 1)]
+        told = [
+            *held.by_class(held.word, size),
+            *held.by_class(held.before, size),
+            *followers,
+            np.bincount(word[new & (seen[0] + seen[1] > 0)], minlength=size),
+        ]
+        asked = held.asks(row["chunk"][0].as_py(), held.words, told, bits)
+        return pa.Table.from_batches([asked])
+
+    both = stored.groupBy("chunk").cogroup(pairs.groupBy("chunk"))
+    return both.applyInArrow(ask, ASKED)
+
+
+def _answers(table: pa.Table, kind: int, rows: int) -> np.ndarray:
+    """What the parts told a chunk, in the order of its keys."""
+    held = [
+        (part, cell)
+        for part, cell, k in zip(
+            table["part"].to_pylist(),
+            table["held"].to_pylist(),
+            table["kind"].to_pylist(),
+            strict=True,
+        )
+        if k == kind
+    ]
+    told = [_matrix(cell, rows) for _, cell in sorted(held)]
+    return np.concatenate(told, axis=1) if told else np.zeros((rows, 0), np.int64)
+
+
+def _added(table: pa.Table, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    """Sums of the counts of each distinct key, each asked key's place, and its chunk's rows."""
+    keys = [np.cumsum(_unpacked(x, np.uint64), dtype=np.uint64) for x in table["keys"].to_pylist()]
+    counts = [_matrix(x, rows) for x in table["counts"].to_pylist()]
+    ends = np.cumsum([0] + [len(x) for x in keys])
+    order = np.argsort(table["chunk"].to_numpy(), kind="stable")  # so that the first is told alike
+    distinct, first, places = np.unique(
+        np.concatenate([keys[i] for i in order]), return_index=True, return_inverse=True
+    )
+    counts = np.concatenate([counts[i] for i in order], axis=1)
+    sums = np.stack([np.bincount(places, c, len(distinct)) for c in counts]).astype(np.int64)
+    ends = np.cumsum([0] + [len(keys[i]) for i in order])
+    cut = [
+        (table["chunk"][int(i)].as_py(), slice(a, b))
+        for i, a, b in zip(order, ends[:-1], ends[1:], strict=True)
+    ]
+    return sums, first, places, cut
+
+
+def _ones_and_twos(counts: np.ndarray) -> list[int]:
+    return [int((counts == n).sum()) for n in (1, 2)]
+
+
+def _told(part: int, kind: int, cut: list, told: np.ndarray, sums: list[int]) -> pa.Table:
+    """A row per chunk that asked, and one of sums over the part's distinct keys."""
+    cells = [_packed(np.ascontiguousarray(told[:, x])) for _, x in cut]
+    n = len(cut) + 1
     return pa.table(
         {
-            "part": pa.array([part] * len(names), pa.int32()),
-            "name": names,
-            "held": pa.array([_packed(told[name]) for name in names], pa.binary()),
+            "chunk": pa.array([*(name for name, _ in cut), SUMS], pa.int64()),
+            "kind": pa.array([kind] * n, pa.int32()),
+            "part": pa.array([part] * n, pa.int32()),
+            "held": pa.array([*cells, _packed(np.array(sums, np.int64))], pa.binary()),
         }
     )
 
 
+def _merge_pairs(key: tuple, table: pa.Table) -> pa.Table:
+    """A part of the bigram table: counts of both classes, and who has a bigram first."""
+    sums, first, places, cut = _added(table, 2)
+    new = np.zeros(len(places), np.int64)
+    new[first] = 1
+    told = np.concatenate([sums[:, places], new[None, :]])
+    return _told(
+        key[0].as_py(), PAIRS, cut, told, [*_ones_and_twos(sums[0]), *_ones_and_twos(sums[1])]
+    )
+
+
+def _merge_words(key: tuple, table: pa.Table) -> pa.Table:
+    """A part of the word table; see ``_ask_words``."""
+    sums, _, places, cut = _added(table, 7)
+    totals = [
+        *_ones_and_twos(sums[0]),
+        *_ones_and_twos(sums[1]),
+        *(int(x.sum()) for x in sums[:2]),
+        *(int((x > 0).sum()) for x in sums[:2]),
+        int(sums[6].sum()),
+        int((sums[6] > 0).sum()),
+    ]
+    return _told(key[0].as_py(), SINGLES, cut, sums[:, places], totals)
+
+
+def _sums(answers: DataFrame) -> np.ndarray:
+    rows = answers.filter(F.col("chunk") == SUMS).select("held").toLocalIterator()
+    return sum(_unpacked(row["held"], np.int64) for row in rows)
+
+
+def discount(ones: int, twos: int) -> float:
+    """The share of a count that absolute discounting takes away, from counts of counts."""
+    return ones / (ones + 2 * twos) if ones and twos else 0.5
+
+
 @dataclass
 class Model:
-    """Class 0 is ordinary, class 1 toxic, in the last axis of each array."""
-
-    cells: np.ndarray
-    histories: np.ndarray
-    followers: np.ndarray
-    single: np.ndarray  # probability of each word in each class
-
-    def differences(self, words: Words) -> np.ndarray:
-        """Log-likelihood of each word after the one before it, toxic less ordinary."""
-        before, word = bigrams(words)
-        seen = self.cells[cell_of(before, word)]
-        total = np.maximum(self.histories[before], 1)
-        back = np.minimum(DISCOUNT * self.followers[before].sum(axis=1), total.sum(axis=1))
-        back = np.where(back > 0, back / total.sum(axis=1), 1)[:, None]
-        chance = np.maximum(seen - DISCOUNT, 0) / total + back * self.single[word]
-        known = (self.histories[before].min(axis=1) >= HISTORY)[:, None]
-        # a shared cell may hold more than its history
-        logs = np.log(np.where(known, np.minimum(chance, 1), self.single[word]))
-        return logs[:, 1] - logs[:, 0]
-
-
-def _model(gathered: DataFrame) -> Model | None:
-    """Put the parts together on the driver: five arrays of fixed size."""
-    cells = np.zeros((RANGES, (1 << CELL_BITS) // RANGES, 2), np.float32)
-    shape = ((1 << WORD_BITS) // RANGES, RANGES, 2)
-    histories, followers = np.zeros(shape, np.float32), np.zeros(shape, np.float32)
-    words = np.zeros(2 << WORD_BITS, np.float32)
-    contexts = np.zeros(1 << WORD_BITS, np.float32)
-    merged = gathered.groupBy("part").applyInArrow(_merge, "part int, name string, held binary")
-    for row in materialise(merged, "model").toLocalIterator():
-        held = _unpacked(row["held"], np.float32)
-        if row["name"] == "cells":
-            cells[row["part"]] = held.reshape(-1, 2)
-        elif row["name"] == "histories":
-            histories[:, row["part"]] = held.reshape(-1, 2)
-        elif row["name"] == "followers":
-            followers[:, row["part"]] = held.reshape(-1, 2)
-        elif row["name"] == "words":
-            words += held
-        else:
-            contexts += held
-    words = words.reshape(-1, 2)
-    totals = words.sum(axis=0)
-    if not totals.all():
-        return None
-    shared = ((contexts + 1) / (contexts.sum() + len(contexts)))[:, None]
-    rest = np.minimum(words, DISCOUNT).sum() / totals.sum()
-    single = np.maximum(words - DISCOUNT, 0) / totals + rest * shared
-    return Model(
-        cells.reshape(-1, 2),
-        histories.reshape(-1, 2),
-        followers.reshape(-1, 2),
-        single.astype(np.float32),
+    """Discounts and totals; in arrays, class 0 is ordinary, class 1 toxic."""
+
+    pair_discounts: list[float]
+    word_discounts: list[float]
+    totals: list[int]
+    kinds: list[int]  # distinct words of each class
+    contexts: int
+    vocabulary: int
+
+    @classmethod
+    def of(cls, pairs: np.ndarray, words: np.ndarray) -> Model:
+        def discounts(told: np.ndarray) -> list[float]:
+            return [discount(int(a), int(b)) for a, b in told[:4].reshape(2, 2)]
+
+        ends = (words[4:6], words[6:8])
+        totals, kinds = ([int(x) for x in held] for held in ends)
+        return cls(discounts(pairs), discounts(words), totals, kinds, int(words[8]), int(words[9]))
+
+    def differences(
+        self, seen: list, word: list, history: list, followers: list, contexts: np.ndarray
+    ) -> np.ndarray:
+        """Log-likelihood of words after others, toxic less ordinary, from the counts of each."""
+        shared = (contexts + 1) / (self.contexts + self.vocabulary + 1)
+        rest = min(1.0, DISCOUNT * sum(self.kinds) / sum(self.totals))
+        total = np.maximum(history[0] + history[1], 1)
+        back = np.minimum(DISCOUNT * (followers[0] + followers[1]) / total, 1)
+        known = np.minimum(*history) >= HISTORY
+        logs = []
+        for k in (0, 1):
+            single = np.maximum(word[k] - DISCOUNT, 0) / self.totals[k] + rest * shared
+            chance = np.maximum(seen[k] - DISCOUNT, 0) / np.maximum(history[k], 1)
+            logs.append(np.log(np.where(known, chance + back * single, single)))
+        return logs[1] - logs[0]
+
+
+def _differences(
+    held: Chunk, pairs: np.ndarray, words: np.ndarray, model: Model
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-likelihood of each word after the one before it, toxic less ordinary.
+
+    Also the words of the drawn documents, and their differences without the document's
+    own counts. The classes' totals and discounts keep them, which is a document in many.
+    """
+    word, before, pair = held.word, held.before, held.pair
+    classes = (0, 1)
+    apart = model.differences(
+        [pairs[k][pair] for k in classes],
+        [words[k][word] for k in classes],
+        [words[2 + k][before] for k in classes],
+        [words[4 + k][before] for k in classes],
+        words[6][word],
     )
+    texts = held.texts
+    at = np.flatnonzero(held.drawn[texts] > 0)
+    word, before, pair, texts = word[at], before[at], pair[at], texts[at]
+    return apart, at, apart[at]  # drawn documents are not counted
 
 
-def _evidence(docs: DataFrame, model: Model, extra: str = "") -> DataFrame:
-    """Per document its number of words and its differences by length: all, the strong."""
-    packed = {name: _packed(held.ravel()) for name, held in vars(model).items()}
-    shared = docs.sparkSession.sparkContext.broadcast(packed)
+def _evidence(stored: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
+    """Per document its number of words and its differences by length: all, the strong.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays = {name: _unpacked(x, np.float32).reshape(-1, 2) for name, x in shared.value.items()}
-        held = Model(**arrays)
-        for batch in batches:
-            for row, end, data, offsets in chunks(batch):
-                words = words_of(data, offsets, PLAIN_WORDS)
-                apart = held.differences(words).astype(float)
-                columns = {
-                    "doc_id": batch.column("doc_id")[row:end],
-                    "n": pa.array(words.counts),
-                    "mean": pa.array(_means(apart, words)),
-                    "strong": pa.array(_means(np.where(apart > STRONG, apart, 0.0), words)),
-                }
-                if extra:
-                    columns["toxic"] = batch.column("toxic")[row:end]
-                yield pa.record_batch(columns)
-
-    return docs.mapInArrow(run, f"doc_id long, n long, mean double, strong double{extra}")
-
-
-def _means(values: np.ndarray, words: Words) -> np.ndarray:
-    """The sum over each text's words by their number."""
-    sums = np.bincount(words.texts, values, len(words.counts))
-    return sums / np.maximum(words.counts, 1)
-
-
-def features(n: np.ndarray, mean: np.ndarray, strong: np.ndarray) -> np.ndarray:
-    """What the curve sees of documents: both differences, also by the root of the length."""
-    root = np.sqrt(n)
-    return np.column_stack(
-        [np.ones(len(n)), mean, strong, strong * root, np.minimum(strong * n, 5.0), np.log1p(n)]
-    )
+    Drawn documents also have them without their own counts, the first of ``own`` over
+    all words, and their label.
+    """
+
+    def run(row: pa.Table, told: pa.Table) -> pa.Table:
+        held = Chunk.of(row)
+        pairs, words = _answers(told, PAIRS, 3), _answers(told, SINGLES, 7)
+        apart, at, own = _differences(held, pairs, words, model)
+        texts, n = held.texts, len(held.counts)
+
+        def means(values: np.ndarray, texts: np.ndarray) -> np.ndarray:
+            return np.bincount(texts, values, n) / np.maximum(held.counts, 1)
+
+        def strong(values: np.ndarray, texts: np.ndarray) -> list[np.ndarray]:
+            return [means(np.where(values > least, values, 0.0), texts) for least in STRONG]
+
+        mean, several = means(apart, texts), np.stack(strong(apart, texts), axis=1)
+        alone = np.stack([means(own, texts[at]), *strong(own, texts[at])], axis=1)
+        drawn = held.drawn > 0
+        columns = {
+            "doc_id": held.ids,
+            "n": held.counts,
+            "mean": mean,
+            "strong": list(several),
+            "toxic": pa.array(held.toxic.astype(np.int32), mask=~drawn),
+            "own": [x if d else None for x, d in zip(alone, drawn, strict=True)],
+        }
+        kinds = {"strong": pa.list_(pa.float64()), "own": pa.list_(pa.float64())}
+        return pa.table({k: pa.array(v, kinds.get(k)) for k, v in columns.items()})
+
+    both = stored.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return both.applyInArrow(run, SEEN)
+
+
+def features(n, mean, strong: list, functions) -> list:
+    """What the curve sees of documents, as arrays or as columns, by their ``functions``.
+
+    Both differences, the strong ones at every level, also by the length and its root.
+    """
+    root, log, least = functions
+    told = [mean, log(n)]
+    for level, held in zip(STRONG, strong, strict=True):
+        told += [held, held * root(n), log(held * n), least(held * n, 2.5 * level)]
+    return told
 
 
 def curve(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -267,6 +462,15 @@ def curve(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return weights / scale
 
 
+def _stored(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The chunks in buckets, so that they are not moved to meet their answers."""
+    name = f"toxicity_chunks_{uuid.uuid4().hex}"
+    path = scratch_path(docs.sparkSession, "chunks")
+    writer = _chunked(docs).write.bucketBy(BUCKETS, "chunk").option("compression", "zstd")
+    writer.option("path", path).format("parquet").saveAsTable(name)
+    return docs.sparkSession.table(name), name
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score each document (doc_id, text) by what ``labels`` (doc_id, toxic) mark.
 
@@ -277,36 +481,71 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marks = labels.select(
         labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic")
     )
-    marks = marks.filter(
-        F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != HELD_OUT)
-    ).withColumn("fold", fold(F.col("doc_id")))
-    marks = marks.groupBy("doc_id", "fold").agg(F.max("toxic").alias("toxic"))
-    curve_rows = marks.filter(F.col("fold") == CURVE_FOLD).count()
-    share = min(1.0, CURVE_ROWS / max(1, curve_rows))
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    marks = materialise(marks.filter((F.col("fold") != CURVE_FOLD) | drawn), "marks")
-    learned = docs.filter(fold(F.col("doc_id")) != HELD_OUT).join(marks, "doc_id")
-    learned = materialise(learned.select("doc_id", "text", "toxic", "fold"), "labelled")
-    model = _model(_gather(learned.filter(F.col("fold") != CURVE_FOLD).select("text", "toxic")))
+    marks = marks.filter(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != HELD_OUT))
+    marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("byte").alias("toxic"))
+    marks = materialise(marks.sort("doc_id"), "marks")
+    n_marks, prior = marks.agg(F.count_if(fold(F.col("doc_id")) == CURVE_FOLD), F.avg("toxic")).first()
+    share = min(1.0, CURVE_ROWS / max(1, n_marks))
+    draw = F.pmod(F.xxhash64(docs["doc_id"]), F.lit(1 << 30)) < int(share * (1 << 30))
+    draw = draw & (fold(docs["doc_id"]) == CURVE_FOLD)
+    out_of_curve = fold(F.col("doc_id")) != CURVE_FOLD
+    sampled = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    marks = marks.filter(out_of_curve | sampled)
+    marked = docs.join(marks, "doc_id", "left").select(
+        docs["doc_id"],
+        "text",
+        F.coalesce("toxic", F.lit(-1).cast("byte")).alias("toxic"),
+        (F.col("toxic").isNotNull() & draw).alias("drawn"),
+    )
+    spark = docs.sparkSession
+    stored, name = _stored(marked)
+    freed = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        seen = _seen(stored)
+    finally:
+        spark.conf.set(CLEANUP, freed)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     out = F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False))
-    if model is None:
-        prior = marks.agg(F.avg("toxic")).first()[0] or 0.0
-        scored = docs.select("doc_id", F.lit(float(prior)).alias("score"))
+    if seen is None:
+        scored = docs.select("doc_id", F.lit(float(prior or 0.0)).alias("score"))
     else:
-        sample = learned.filter(F.col("fold") == CURVE_FOLD).select("doc_id", "text", "toxic")
-        names = ["n", "mean", "strong", "toxic"]
-        seen = _evidence(sample, model, ", toxic int").select(*names).toPandas()
-        n, mean, strong, toxic = (seen[name].to_numpy(float) for name in names)
-        w = [float(x) for x in curve(features(n, mean, strong), toxic)]
-        n, mean, strong = F.col("n").cast("double"), F.col("mean"), F.col("strong")
-        told = F.least(strong * n, F.lit(5.0))
-        sense = w[0] + w[1] * mean + w[2] * strong + w[3] * strong * F.sqrt(n) + w[4] * told
-        sense = sense + w[5] * F.log1p(n)
+        sample = seen.filter(F.col("own").isNotNull()).select("n", "own", "toxic").toPandas()
+        n, toxic = (sample[k].to_numpy(float) for k in ("n", "toxic"))
+        own = np.array(sample["own"].tolist(), float).reshape(len(n), 1 + len(STRONG))
+        x = features(n, own[:, 0], list(own[:, 1:].T), (np.sqrt, np.log1p, np.minimum))
+        weights = curve(np.column_stack([np.ones(len(n)), *x]), toxic)
+        strong = [F.col("strong")[i] for i in range(len(STRONG))]
+        native = (F.sqrt, F.log1p, lambda value, most: F.least(value, F.lit(most)))
+        x = features(F.col("n").cast("double"), F.col("mean"), strong, native)
+        sense = F.lit(float(weights[0]))
+        for w, told in zip(weights[1:], x, strict=True):
+            sense = sense + F.lit(float(w)) * told
         score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), sense))))
-        scored = _evidence(docs, model).select("doc_id", score.alias("score"))
+        scored = seen.select("doc_id", score.alias("score"))
     return scored.select(
         "doc_id",
         out.alias("held_out"),
         "score",
         F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
     )
+
+
+def _seen(stored: DataFrame) -> DataFrame | None:
+    """The evidence of every document, or nothing without labelled words of both kinds."""
+    size = stored.agg(F.sum("size")).first()[0] or 0
+    bits = max(3, (size // PART_WORDS).bit_length())
+
+    def merged(asked: DataFrame, merge, name: str) -> DataFrame:
+        return materialise(asked.groupBy("part").applyInArrow(merge, ANSWER), name)
+
+    pairs = merged(_ask_pairs(stored, bits, 0), _merge_pairs, "pairs")
+    for turn in range(1, ROUNDS):
+        pairs = pairs.unionByName(merged(_ask_pairs(stored, bits, turn), _merge_pairs, "pairs"))
+    chunked = pairs.filter(F.col("chunk") != SUMS)
+    words = merged(_ask_words(stored, chunked, bits), _merge_words, "words")
+    model = Model.of(_sums(pairs), _sums(words)) if size else None
+    if model is None or not all(model.totals):
+        return None
+    answers = chunked.unionByName(words.filter(F.col("chunk") != SUMS))
+    return materialise(_evidence(stored, answers, model), "evidence")
