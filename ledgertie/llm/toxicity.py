@@ -42,7 +42,7 @@ from ledgertie.llm.tables import id_and_text, materialise
 from ledgertie.llm.text import PLAIN_WORDS, chunks, mix, words_of
 from ledgertie.sources.session import scratch_path
 
-FOLDS, HELD_OUT, CURVE_FOLD = 4, 2, 3
+FOLDS, HELD_OUT = 4, 2
 CHUNK_WORDS = 2_000_000
 PART_WORDS = 2_000_000  # the tables are cut into a part for about so many words of text
 BUCKETS = 128
@@ -182,7 +182,7 @@ class Chunk:
 
     def by_class(self, places: np.ndarray, size: int) -> list[np.ndarray]:
         """How often each place occurs in ordinary and in toxic documents."""
-        kind = np.where(self.drawn > 0, -1, self.toxic)[self.texts]
+        kind = self.toxic[self.texts]
         return [np.bincount(places[kind == k], minlength=size) for k in (0, 1)]
 
     def asks(
@@ -243,7 +243,7 @@ def _ask_words(stored: DataFrame, pairs: DataFrame, bits: int) -> DataFrame:
             *held.by_class(held.word, size),
             *held.by_class(held.before, size),
             *followers,
-            np.bincount(word[new & (seen[0] + seen[1] > 0)], minlength=size),
+            np.bincount(word[new], minlength=size),
         ]
         asked = held.asks(row["chunk"][0].as_py(), held.words, told, bits)
         return pa.Table.from_batches([asked])
@@ -397,7 +397,37 @@ def _differences(
     texts = held.texts
     at = np.flatnonzero(held.drawn[texts] > 0)
     word, before, pair, texts = word[at], before[at], pair[at], texts[at]
-    return apart, at, apart[at]  # drawn documents are not counted
+    if not len(at):
+        return apart, at, apart[at]
+
+    def own(places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        _, first, back, n = np.unique(
+            texts * np.int64(size) + places,
+            return_index=True,
+            return_inverse=True,
+            return_counts=True,
+        )
+        return n[back], first
+
+    size = len(held.words)
+    own_pair, first = own(pair, len(held.keys))
+    own_word, own_history = own(word, size)[0], own(before, size)[0]
+    kind = held.toxic[texts]
+    # bigrams of the class that are this document's alone, by document and history
+    total = np.where(kind == 1, pairs[1][pair], pairs[0][pair])
+    alone = first[total[first] == own_pair[first]]
+    place = texts * np.int64(size) + before
+    names, back = np.unique(place, return_inverse=True)
+    lost = np.bincount(np.searchsorted(names, place[alone]), minlength=len(names))[back]
+    mine = [kind == k for k in classes]
+    own_apart = model.differences(
+        [pairs[k][pair] - own_pair * mine[k] for k in classes],
+        [words[k][word] - own_word * mine[k] for k in classes],
+        [words[2 + k][before] - own_history * mine[k] for k in classes],
+        [words[4 + k][before] - lost * mine[k] for k in classes],
+        words[6][word],
+    )
+    return apart, at, own_apart
 
 
 def _evidence(stored: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
@@ -484,13 +514,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marks = marks.filter(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != HELD_OUT))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("byte").alias("toxic"))
     marks = materialise(marks.sort("doc_id"), "marks")
-    n_marks, prior = marks.agg(F.count_if(fold(F.col("doc_id")) == CURVE_FOLD), F.avg("toxic")).first()
+    n_marks, prior = marks.agg(F.count("*"), F.avg("toxic")).first()
     share = min(1.0, CURVE_ROWS / max(1, n_marks))
     draw = F.pmod(F.xxhash64(docs["doc_id"]), F.lit(1 << 30)) < int(share * (1 << 30))
-    draw = draw & (fold(docs["doc_id"]) == CURVE_FOLD)
-    out_of_curve = fold(F.col("doc_id")) != CURVE_FOLD
-    sampled = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    marks = marks.filter(out_of_curve | sampled)
     marked = docs.join(marks, "doc_id", "left").select(
         docs["doc_id"],
         "text",

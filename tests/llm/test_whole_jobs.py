@@ -20,3 +20,23 @@ def test_toxicity_tells_all_words_and_bigrams_apart():
     n = 600_000
     held = toxicity_chunk([" ".join(f"a{i}" for i in range(n))], [1], [0])
     assert len(held.words) == n + 1 and len(held.keys) == n  # with the start of the text
+
+
+def test_toxicity_counts_every_labelled_row():
+    held = toxicity_chunk(["a b a", "a c", "a d"], [1, 0, -1], [1, 0, 0])
+    ordinary, toxic = held.by_class(held.word, len(held.words))
+    assert (ordinary.sum(), toxic.sum()) == (2, 3)
+
+
+def test_toxicity_contexts_come_from_all_documents(spark):
+    rows = [(0, "a b", -1, False), (1, "c b", -1, False), (2, "c b", 1, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int, drawn boolean")
+    stored = toxicity.materialise(toxicity._chunked(docs.coalesce(1)), "chunks")
+    pairs = toxicity._ask_pairs(stored, 3, 0)
+    for turn in range(1, toxicity.ROUNDS):
+        pairs = pairs.unionByName(toxicity._ask_pairs(stored, 3, turn))
+    pairs = pairs.groupBy("part").applyInArrow(toxicity._merge_pairs, toxicity.ANSWER)
+    words = toxicity._ask_words(stored, pairs.filter("chunk >= 0"), 3)
+    words = words.groupBy("part").applyInArrow(toxicity._merge_words, toxicity.ANSWER)
+    contexts, vocabulary = toxicity._sums(words)[8:]
+    assert (contexts, vocabulary) == (4, 3)  # a, c after the start; b after a and after c
