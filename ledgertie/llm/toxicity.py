@@ -1,9 +1,9 @@
 """Toxicity by two Kneser-Ney models, one of toxic and one of ordinary documents.
 
-Both are bigram models over words with absolute discounting. A
+Both are bigram models over words with absolute discounting, always interpolated. A
 bigram backs off to the word's frequency in the class, and that to continuation counts
 that the classes share: in how many different contexts a word occurs in any document,
-labelled or not. A
+labelled or not. Discounts are n1 / (n1 + 2 n2) of each class's own counts of counts. A
 document's log-likelihoods are divided by its length and compared, over all words and
 over those alone that speak strongly for toxic text; a logistic curve turns the
 differences into a score.
@@ -16,7 +16,7 @@ travels more than once per chunk. The chunks are stored in buckets and stay ther
 
 All labelled rows count, the held-out ones apart. A bounded sample of them fits the
 curve, each document's own counts taken out of what it is compared with, so the curve
-sees likelihoods of unseen documents. 
+sees likelihoods of unseen documents. It weighs strong words at several levels.
 
 Labels are taken from rows whose crc32 of the id is not 2 modulo 4. Defined results: null
 counts as empty; a text without words gets the score of no evidence; rows with a null id
@@ -48,9 +48,7 @@ PART_WORDS = 2_000_000  # the tables are cut into a part for about so many words
 BUCKETS = 128
 ROUNDS = 4  # the bigram table is made in so many, each of which frees its shuffle
 CURVE_ROWS = 20_000  # labelled rows, at most about, that fit the curve
-DISCOUNT = 10.0  # a bigram or word has to be seen more often than this to count by itself
-HISTORY = 300.0  # a class has to have a word this often to tell what follows it
-STRONG = (2.0,)  # from which a word is evidence by itself
+STRONG = (1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0)  # from which a word is evidence by itself
 THRESHOLD = 0.3
 START = np.uint64(1)  # the word before a text's first
 PAIRS, SINGLES, SUMS = 0, 1, -1
@@ -365,15 +363,15 @@ class Model:
     ) -> np.ndarray:
         """Log-likelihood of words after others, toxic less ordinary, from the counts of each."""
         shared = (contexts + 1) / (self.contexts + self.vocabulary + 1)
-        rest = min(1.0, DISCOUNT * sum(self.kinds) / sum(self.totals))
-        total = np.maximum(history[0] + history[1], 1)
-        back = np.minimum(DISCOUNT * (followers[0] + followers[1]) / total, 1)
-        known = np.minimum(*history) >= HISTORY
         logs = []
         for k in (0, 1):
-            single = np.maximum(word[k] - DISCOUNT, 0) / self.totals[k] + rest * shared
-            chance = np.maximum(seen[k] - DISCOUNT, 0) / np.maximum(history[k], 1)
-            logs.append(np.log(np.where(known, chance + back * single, single)))
+            rest = self.word_discounts[k] * self.kinds[k] / self.totals[k]
+            single = np.maximum(word[k] - self.word_discounts[k], 0) / self.totals[k]
+            single = single + rest * shared
+            total = np.maximum(history[k], 1)
+            back = np.where(history[k] > 0, self.pair_discounts[k] * followers[k] / total, 1)
+            chance = np.maximum(seen[k] - self.pair_discounts[k], 0) / total + back * single
+            logs.append(np.log(chance))
         return logs[1] - logs[0]
 
 

@@ -40,3 +40,12 @@ def test_toxicity_contexts_come_from_all_documents(spark):
     words = words.groupBy("part").applyInArrow(toxicity._merge_words, toxicity.ANSWER)
     contexts, vocabulary = toxicity._sums(words)[8:]
     assert (contexts, vocabulary) == (4, 3)  # a, c after the start; b after a and after c
+
+
+def test_toxicity_uses_bigrams_that_are_rare():
+    assert 0 < toxicity.discount(60, 20) < 1
+    model = toxicity.Model([0.6, 0.6], [0.6, 0.6], [1000, 1000], [300, 300], 500, 300)
+    one, two, none = np.array([1]), np.array([2]), np.array([0])
+    seen = model.differences([none, one], [two, two], [two, two], [two, two], two)
+    unseen = model.differences([none, none], [two, two], [two, two], [two, two], two)
+    assert seen[0] > unseen[0] + 1  # seen once, after a word seen twice in each class
