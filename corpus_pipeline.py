@@ -1,8 +1,8 @@
 """A pipeline of five corpus operators, from documents to a training mixture.
 
 Each stage works on all that its predecessor kept, written as Parquet, and returns the
-columns of its table; the last adds the number of the copy. Document ids are expected to
-be unique; a document without id is never dropped.
+columns of its table; the last adds the number of the copy. Ids may be null or repeated:
+a stage numbers its rows, and what an operator says of a row holds for that row alone.
 """
 
 from __future__ import annotations
@@ -11,19 +11,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgertie.llm import decontaminate, jaccard, line_dedup, mixing, toxicity
-from ledgertie.llm.tables import documents, materialise, read
+from ledgertie.llm.tables import documents, free_name, materialise, read
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the documents whose ids are in ``rejected``."""
-    ids = materialise(rejected.select("doc_id").distinct(), "rejected")
-    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a number for each row, and that column's name."""
+    key = free_name(docs, "_row")
+    return materialise(docs.withColumn(key, F.monotonically_increasing_id()), "numbered"), key
+
+
+def _by_key(docs: DataFrame, key: str) -> DataFrame:
+    """Texts with the rows' numbers as their ids."""
+    return docs.select(F.col(key).alias("doc_id"), "text")
+
+
+def _without(docs: DataFrame, key: str, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose numbers are in ``rejected``, and without numbers."""
+    rows = materialise(rejected.select(key), "rejected")
+    return docs.join(rows, key, "left_anti").drop(key)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models predict as toxic go."""
-    scored = toxicity.score_toxicity(docs, read(spark, sf_dir, "labels"))
-    return _without(docs, scored.filter("predicted = 1"))
+    docs, key = _numbered(docs)
+    scored = toxicity.score_toxicity(docs, read(spark, sf_dir, "labels"), key)
+    return _without(docs, key, scored.filter("predicted = 1"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,15 +48,23 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays."""
-    grouped = jaccard.near_duplicates(docs)
-    return _without(docs, grouped.filter("doc_id <> class_id"))
+    """Of each group of near-duplicates one document stays: the least id's, null the last."""
+    docs, key = _numbered(docs)
+    doc_id = F.col("doc_id").cast("long")
+    place = docs.select(key, F.struct(doc_id.isNull(), doc_id, key).alias("place"))
+    grouped = jaccard.near_duplicates(_by_key(docs, key))
+    grouped = grouped.select(F.col("doc_id").alias(key), "class_id").join(place, key)
+    grouped = materialise(grouped, "grouped")
+    stays = grouped.groupBy("class_id").agg(F.min("place")[key].alias(key))
+    return _without(docs, key, grouped.join(stays.select(key), key, "left_anti"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark passage go."""
-    found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark"))
-    return _without(docs, found.filter("n_hit > 0"))
+    docs, key = _numbered(docs)
+    benchmark = read(spark, sf_dir, "benchmark")
+    found = decontaminate.contamination(_by_key(docs, key), benchmark).filter("n_hit > 0")
+    return _without(docs, key, found.withColumnRenamed("doc_id", key))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgertie.llm.tables import id_and_text, materialise
+from ledgertie.llm.tables import materialise
 from ledgertie.llm.text import PLAIN_WORDS, chunks, mix, words_of
 from ledgertie.sources.session import scratch_path
 
@@ -59,7 +59,7 @@ CHUNK = (
 )
 ASKED = "part int, chunk long, keys binary, counts binary"
 ANSWER = "chunk long, kind int, part int, held binary"
-SEEN = "doc_id long, n long, mean double, strong array<double>, toxic int, own array<double>"
+SEEN = "row long, n long, mean double, strong array<double>, toxic int, own array<double>"
 
 
 def fold(doc_id: Column) -> Column:
@@ -108,7 +108,7 @@ def _chunk(name: int, parts: list) -> pa.RecordBatch:
 
 
 def _chunked(docs: DataFrame) -> DataFrame:
-    """All documents (doc_id, text, toxic, drawn) in chunks; toxic is -1 without a label."""
+    """All documents (row, text, toxic, drawn) in chunks; toxic is -1 without a label."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, held, size = TaskContext.get().partitionId() << 32, [], 0
@@ -119,7 +119,7 @@ def _chunked(docs: DataFrame) -> DataFrame:
             )
             for row, end, data, offsets in chunks(batch):
                 words = words_of(data, offsets, PLAIN_WORDS)
-                ids = batch.column("doc_id")[row:end]
+                ids = batch.column("row")[row:end]
                 held.append((ids, toxic[row:end], drawn[row:end], words.counts, words.hashes))
                 size += len(words.hashes) + end - row
                 if size >= CHUNK_WORDS:
@@ -451,7 +451,7 @@ def _evidence(stored: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
         alone = np.stack([means(own, texts[at]), *strong(own, texts[at])], axis=1)
         drawn = held.drawn > 0
         columns = {
-            "doc_id": held.ids,
+            "row": held.ids,
             "n": held.counts,
             "mean": mean,
             "strong": list(several),
@@ -499,13 +499,17 @@ def _stored(docs: DataFrame) -> tuple[DataFrame, str]:
     return docs.sparkSession.table(name), name
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, key: str | None = None) -> DataFrame:
     """Score each document (doc_id, text) by what ``labels`` (doc_id, toxic) mark.
 
     Returns doc_id, held_out, score and predicted. Labels, languages, sources and ids are
-    no part of a score.
+    no part of a score. With ``key``, a column of numbers that tells rows apart, the result
+    has that in place of doc_id and held_out.
     """
-    docs = id_and_text(docs)
+    row = docs[key or "doc_id"].cast("long").alias("row")
+    docs = docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), row
+    )
     marks = labels.select(
         labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic")
     )
@@ -516,7 +520,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     share = min(1.0, CURVE_ROWS / max(1, n_marks))
     draw = F.pmod(F.xxhash64(docs["doc_id"]), F.lit(1 << 30)) < int(share * (1 << 30))
     marked = docs.join(marks, "doc_id", "left").select(
-        docs["doc_id"],
+        "row",
         "text",
         F.coalesce("toxic", F.lit(-1).cast("byte")).alias("toxic"),
         (F.col("toxic").isNotNull() & draw).alias("drawn"),
@@ -532,7 +536,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     out = F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False))
     if seen is None:
-        scored = docs.select("doc_id", F.lit(float(prior or 0.0)).alias("score"))
+        scored = docs.select("row", F.lit(float(prior or 0.0)).alias("score"))
     else:
         sample = seen.filter(F.col("own").isNotNull()).select("n", "own", "toxic").toPandas()
         n, toxic = (sample[k].to_numpy(float) for k in ("n", "toxic"))
@@ -546,13 +550,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for w, told in zip(weights[1:], x, strict=True):
             sense = sense + F.lit(float(w)) * told
         score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), sense))))
-        scored = seen.select("doc_id", score.alias("score"))
-    return scored.select(
-        "doc_id",
-        out.alias("held_out"),
-        "score",
-        F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
+        scored = seen.select("row", score.alias("score"))
+    scored = scored.withColumnRenamed("row", key or "doc_id").withColumn(
+        "predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0)
     )
+    told = [key] if key else ["doc_id", out.alias("held_out")]
+    return scored.select(*told, "score", "predicted")
 
 
 def _seen(stored: DataFrame) -> DataFrame | None:

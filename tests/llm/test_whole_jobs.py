@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pyarrow as pa
 
+import corpus_pipeline
 from ledgertie.llm import toxicity
 from ledgertie.llm.text import PLAIN_WORDS, as_bytes, words_of
 
@@ -49,3 +52,39 @@ def test_toxicity_uses_bigrams_that_are_rare():
     seen = model.differences([none, one], [two, two], [two, two], [two, two], two)
     unseen = model.differences([none, none], [two, two], [two, two], [two, two], two)
     assert seen[0] > unseen[0] + 1  # seen once, after a word seen twice in each class
+
+
+def told(kept) -> list[tuple]:
+    return sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+
+
+def test_pipeline_stages_judge_rows_and_not_ids(spark, tmp_path):
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    a, b, c, d = (" ".join(draw.choices(words, k=40)) for _ in range(4))
+    schema = "doc_id long, text string"
+    rows = [(None, a), (None, a), (5, b), (5, b), (5, c), (9, d), (3, d), (None, d), (None, "x y")]
+    docs = spark.createDataFrame(rows, schema)
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert told(kept) == sorted([(None, a), (5, b), (5, c), (3, d), (None, "x y")], key=str)
+
+    items = spark.createDataFrame([(1, " ".join(a.split()[5:25]))], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(None, a), (None, b), (5, a), (5, b), (6, c)], schema)
+    kept = corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path))
+    assert told(kept) == sorted([(None, b), (5, b), (6, c)], key=str)
+
+    rows, marks = [], []
+    for i in range(600):
+        text = draw.choices(words, k=60)
+        for place in (10, 30, 50) if i % 4 == 0 else ():
+            text[place] = draw.choice(["vile", "nasty"])
+        rows.append((i, " ".join(text)))
+        marks.append((i, int(i % 4 == 0)))
+    spark.createDataFrame(marks, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    clean, bad = (" ".join([*draw.choices(words, k=60), *x]) for x in ([], ["vile", "w1", "nasty"] * 2))
+    odd = [(None, clean), (None, bad), (7000, clean), (7000, bad)]
+    docs = spark.createDataFrame([*rows, *odd], schema)
+    kept = told(corpus_pipeline.toxicity_stage(spark, docs, str(tmp_path)))
+    assert [row for row in odd if row in kept] == [(None, clean), (7000, clean)]
+    assert sum(row in kept for row in rows) > 400
