@@ -39,8 +39,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go; a document that loses all of them stays, with an empty text."""
-    kept = line_dedup.dedup_lines(docs)
+    """Repeated lines go, short ones if they are equal; a document that loses all of them stays, with an empty text."""
+    kept = line_dedup.dedup_lines(docs, exact_chars=1)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         kept = kept.withColumn("n_chars", length)

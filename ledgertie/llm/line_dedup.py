@@ -12,8 +12,8 @@ and by two for a blank; running values give every variant in constant time. And
 lines that share a half with another line get variants: one edit leaves a half intact.
 
 Everything is DataFrame functions. A line counts without blanks, tabs and carriage
-returns around it; shorter lines than ``min_chars`` are left alone. Order is by document
-id, then line. Defined results: a null text stays null; an empty one stays empty; a
+returns around it; shorter lines than ``min_chars`` are left alone, or from
+``exact_chars`` on go if an earlier line equals them. Order is by document id, then line. Defined results: a null text stays null; an empty one stays empty; a
 null id comes before all others; rows with one id count as one document, whose lines at
 one place are none earlier than the other; a text that loses all lines becomes empty.
 Other columns stay as they are.
@@ -167,13 +167,19 @@ def _earlier_neighbours(lines: DataFrame) -> DataFrame:
 
 
 def removed_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_chars: int = MIN_CHARS,
+    exact_chars: int | None = None,
 ) -> DataFrame:
-    """Lines that an earlier line equals up to one edit (doc, no)."""
-    lines = _lines(docs, id_col, text_col, min_chars)
+    """Lines that an earlier line equals up to one edit (doc, no), short ones exactly."""
+    exact_chars = min_chars if exact_chars is None else min(exact_chars, min_chars)
+    lines = _lines(docs, id_col, text_col, exact_chars)
+    long = lines.filter(F.length("line") >= min_chars) if exact_chars < min_chars else lines
     place = F.struct("doc", "no")
-    sharing = materialise(_sharing_a_half(lines), "sharing")
-    distinct = lines.groupBy("h", "g").agg(F.min(place).alias("first"), F.max("line").alias("line"))
+    sharing = materialise(_sharing_a_half(long), "sharing")
+    distinct = long.groupBy("h", "g").agg(F.min(place).alias("first"), F.max("line").alias("line"))
     compared = materialise(
         distinct.join(sharing, "h", "left_semi").withColumn("size", F.length("line")), "compared"
     )
@@ -187,14 +193,19 @@ def removed_lines(
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_chars: int = MIN_CHARS,
+    exact_chars: int | None = None,
 ) -> DataFrame:
     """``docs`` without repeated lines, and the numbers of lines and of removed ones.
 
     A line goes if an earlier one, of any document, is within one edit of it, whether
-    or not that one stays itself.
+    or not that one stays itself. Lines shorter than ``min_chars``, if they have
+    ``exact_chars`` or more, go if an earlier one is equal.
     """
-    removed = removed_lines(docs, id_col, text_col, min_chars)
+    removed = removed_lines(docs, id_col, text_col, min_chars, exact_chars)
     gone = removed.groupBy("doc").agg(F.collect_set("no").alias("_gone"))
     joined = docs.join(gone, docs[id_col].eqNullSafe(gone["doc"]), "left")
     split = F.split(docs[text_col].cast("string"), "\n", -1)

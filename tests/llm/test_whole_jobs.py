@@ -88,3 +88,11 @@ def test_pipeline_stages_judge_rows_and_not_ids(spark, tmp_path):
     kept = told(corpus_pipeline.toxicity_stage(spark, docs, str(tmp_path)))
     assert [row for row in odd if row in kept] == [(None, clean), (7000, clean)]
     assert sum(row in kept for row in rows) > 400
+
+
+def test_pipeline_removes_short_lines_that_are_equal(spark):
+    long = "a line of more than twenty characters"
+    rows = [(1, f"short\n\n{long}\nshort"), (2, f"shory\n short\t\n\n{long}s\nnew")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.line_stage(spark, docs, "")
+    assert told(kept) == [(1, f"short\n\n{long}"), (2, "shory\n\nnew")]
