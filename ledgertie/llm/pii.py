@@ -38,7 +38,7 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 STRETCH = re.compile(r"[+(]?[0-9][0-9+(). -]{6,}[0-9]")
 UNIT = re.compile(r"[0-9]+|[^0-9]")
-MOST_UNITS = 15  # units, that is digit groups or separators, in a segment
+MOST_UNITS = 37  # digit groups or separators in a segment: a card of 19 digits, one by one
 SAMPLE = 400  # documents, at most, whose stretches fit the weights
 ROUNDS = 60
 FEATURES = 9

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline
-from ledgertie.llm import toxicity
+from ledgertie.llm import pii, toxicity
 from ledgertie.llm.text import PLAIN_WORDS, as_bytes, words_of
 
 
@@ -96,3 +96,10 @@ def test_pipeline_removes_short_lines_that_are_equal(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = corpus_pipeline.line_stage(spark, docs, "")
     assert told(kept) == [(1, f"short\n\n{long}"), (2, "shory\n\nnew")]
+
+
+def test_personal_data_segments_hold_a_card_digit_by_digit():
+    for digits in ("4111111111111111", "4000000000000000006"):
+        stretch = " ".join(digits)
+        arcs = pii.Lattice(stretch).arcs
+        assert (0, 2 * len(digits) - 1, pii.TYPES.index("card")) in [arc[:3] for arc in arcs]
