@@ -153,6 +153,61 @@ FROM d
 """
 
 
+def _crc_table() -> list[int]:
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
+def crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of a text's UTF-8 bytes."""
+    byte = f"CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT)"
+    octets = f"list_transform(range(0, strlen({text})), lambda i: {byte})"
+    step = f"xor(c >> 8, ({_crc_table()})[xor(c, b) & 255 + 1])"
+    step = step.replace("xor(c, b) & 255 + 1", "(xor(c, b) & 255) + 1")
+    started = f"list_prepend(CAST(4294967295 AS BIGINT), {octets})"
+    return f"xor(list_reduce({started}, lambda c, b: {step}), CAST(4294967295 AS BIGINT))"
+
+
+SPELLING = rf"""
+WITH RECURSIVE runs AS (
+  SELECT prefix, x, count(*) AS n
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS prefix, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[A-Za-zÀ-ÿ]+')) AS x FROM documents)
+  WHERE length(x) >= 6 GROUP BY ALL),
+marked AS (SELECT x, n, {crc32("(prefix || x)")} AS h FROM runs),
+spoilt AS (
+  SELECT n, CASE WHEN h % 199 = 0 THEN left(x, h % length(x)) || substr(x, h % length(x) + 2)
+    ELSE x END AS word FROM marked),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spoilt WHERE length(word) >= 6
+  GROUP BY word HAVING sum(n) >= 5),
+cuts AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b USING (rest, i)
+  WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(n) AS most, min({{'n': -n, 'w': other}})['w'] AS other
+  FROM near GROUP BY word),
+told AS (
+  SELECT word, CASE WHEN most >= 5 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN most >= 5 * n THEN most END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+way AS (
+  SELECT word, word AS root FROM told WHERE form IS NULL
+  UNION ALL SELECT told.word, way.root FROM way JOIN told ON told.form = way.word)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM told JOIN way USING (word)
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op7_warc_archives": ARCHIVES,
@@ -161,4 +216,5 @@ def statements() -> dict[str, str]:
         "op10_ngram_jaccard_join": NEAR_DUPLICATES,
         "op1_benchmark_contamination": CONTAMINATION,
         "op8_repeated_substrings": SUBSTRINGS,
+        "op13_spelling_variants": SPELLING,
     }

@@ -15,6 +15,7 @@ from ledgertie.llm import (
     line_dedup,
     mixing,
     pii,
+    spelling,
     substrings,
     token_counts,
     toxicity,
@@ -77,6 +78,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, folder))
 
 
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_contamination": op1,
     "op2_token_counts": op2,
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op8_repeated_substrings": op8,
     "op9_source_mixing": op9,
     "op10_ngram_jaccard_join": op10,
+    "op13_spelling_variants": op13,
     "pipeline": corpus_pipeline.run,
 }
 

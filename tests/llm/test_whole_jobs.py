@@ -33,7 +33,7 @@ def test_toxicity_counts_every_labelled_row():
 
 def test_toxicity_contexts_come_from_all_documents(spark):
     rows = [(0, "a b", -1, False), (1, "c b", -1, False), (2, "c b", 1, False)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int, drawn boolean")
+    docs = spark.createDataFrame(rows, "row long, text string, toxic int, drawn boolean")
     stored = toxicity.materialise(toxicity._chunked(docs.coalesce(1)), "chunks")
     pairs = toxicity._ask_pairs(stored, 3, 0)
     for turn in range(1, toxicity.ROUNDS):
