@@ -15,6 +15,7 @@ from ledgertie.llm import (
     line_dedup,
     mixing,
     pii,
+    quality,
     spelling,
     substrings,
     token_counts,
@@ -78,6 +79,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, folder))
 
 
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(documents(spark, folder), read(spark, folder, "labels"))
+
+
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_variants(documents(spark, folder))
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op8_repeated_substrings": op8,
     "op9_source_mixing": op9,
     "op10_ngram_jaccard_join": op10,
+    "op11_quality_classifier": op11,
     "op13_spelling_variants": op13,
     "pipeline": corpus_pipeline.run,
 }
