@@ -208,6 +208,97 @@ SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM told J
 """
 
 
+def _least(*ways: tuple[str, int, str, str]) -> str:
+    """SQL for the least of several ways: from a state, at a cost, by a letter, with a new line."""
+    options = [
+        f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'o': {state}.o || {line}}}"
+        for state, cost, letter, line in ways
+    ]
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+_STAY = ("CAST([] AS VARCHAR[])",)
+_USER, _ASSISTANT = "['user:']", "['assistant:']"
+
+
+def _closed(source: str) -> str:
+    """SQL for the ways of ``source`` after turns were inserted: ``u2`` and ``u3`` replace states."""
+    user = _least(
+        ("s2", 0, "", *_STAY), *((state, 3, "I", _USER) for state in ("s0", "s1", "s3"))
+    )
+    assistant = _least(("s3", 0, "", *_STAY), ("u2", 3, "I", _ASSISTANT))
+    return f"(SELECT *, {assistant} AS u3 FROM (SELECT *, {user} AS u2 FROM ({source})))"
+
+
+def _stayed(state: str, initial: str) -> tuple[str, str, str, str]:
+    cost = f"CASE WHEN dead OR ini <> '{initial}' THEN 1000000 ELSE 3 * CAST(cut AS INT) END"
+    return state, cost, "K", "[role || ':' || text]"
+
+
+def _given(state: str, role: str) -> tuple[str, str, str, str]:
+    cost = "CASE WHEN dead THEN 1000000 ELSE 3 + 3 * CAST(cut AS INT) END"
+    return state, cost, "R", f"['{role}:' || text]"
+
+
+def _deleted(state: str) -> tuple[str, int, str, str]:
+    return state, 4, "D", *_STAY
+
+
+_FROM = ["s0", "s1", "u3"]
+REPAIR = rf"""
+WITH RECURSIVE drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")}
+      % 20 AS f
+  FROM conversations),
+spoilt AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM drawn WHERE f <> 0),
+placed AS (
+  SELECT *, left(role, 1) AS ini, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      md5(length(role) || ':' || role || text), copy) AS i,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS final FROM spoilt),
+judged AS (
+  SELECT *, final = '' AS blank,
+    final <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM placed),
+faults AS (
+  SELECT *, blank OR again AS dead, NOT blank AND NOT again AND final NOT IN ('.', '!', '?') AS cut
+  FROM judged),
+told AS (
+  SELECT conv_id, count(*) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+    count_if(blank) AS blank, count_if(again) AS duplicate, count_if(cut) AS truncated,
+    count_if(i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id),
+ways AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': '', 'o': CAST([] AS VARCHAR[])}} AS s0,
+    {{'c': 1000000, 'a': '', 'o': CAST([] AS VARCHAR[])}} AS s1,
+    {{'c': 1000000, 'a': '', 'o': CAST([] AS VARCHAR[])}} AS s2,
+    {{'c': 1000000, 'a': '', 'o': CAST([] AS VARCHAR[])}} AS s3 FROM told
+  UNION ALL
+  SELECT conv_id, i,
+    {_least(_deleted("s0"))} AS s0,
+    {_least(_deleted("s1"), _stayed("s0", "s"))} AS s1,
+    {_least(_deleted("u2"), *(_stayed(s, "u") for s in _FROM), *(_given(s, "user") for s in _FROM))} AS s2,
+    {_least(_deleted("u3"), _stayed("u2", "a"), _given("u2", "assistant"))} AS s3
+  FROM {_closed("""SELECT ways.* EXCLUDE (i), faults.i, role, text, ini, dead, cut FROM ways
+    JOIN faults ON ways.conv_id IS NOT DISTINCT FROM faults.conv_id AND faults.i = ways.i + 1""")}),
+ends AS (
+  SELECT conv_id, list_sort([s0, u3])[1] AS s
+  FROM {_closed("""SELECT ways.* FROM ways
+    JOIN told ON ways.conv_id IS NOT DISTINCT FROM told.conv_id AND i = n""")})
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps,
+  CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+  CAST(coalesce(s.c, 0) AS BIGINT) AS cost, coalesce(s.a, '') AS audit,
+  sha256(coalesce(array_to_string(s.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS ids
+LEFT JOIN told ON ids.conv_id IS NOT DISTINCT FROM told.conv_id
+LEFT JOIN ends ON ids.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op7_warc_archives": ARCHIVES,
@@ -216,5 +307,6 @@ def statements() -> dict[str, str]:
         "op10_ngram_jaccard_join": NEAR_DUPLICATES,
         "op1_benchmark_contamination": CONTAMINATION,
         "op8_repeated_substrings": SUBSTRINGS,
+        "op12_conversation_repair": REPAIR,
         "op13_spelling_variants": SPELLING,
     }

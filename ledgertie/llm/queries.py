@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from ledgertie.llm import (
+    conversations,
     decontaminate,
     fingerprints,
     jaccard,
@@ -83,6 +84,10 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_quality(documents(spark, folder), read(spark, folder, "labels"))
 
 
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(read(spark, folder, "conversations"))
+
+
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_variants(documents(spark, folder))
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op9_source_mixing": op9,
     "op10_ngram_jaccard_join": op10,
     "op11_quality_classifier": op11,
+    "op12_conversation_repair": op12,
     "op13_spelling_variants": op13,
     "pipeline": corpus_pipeline.run,
 }
