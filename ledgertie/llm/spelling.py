@@ -29,6 +29,7 @@ at any size (letters, and a mark for either end), which bounds what tasks are se
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -194,11 +195,12 @@ class Grams:
         place; grams before it that could go on as longer ones; and grams behind it that
         a longer one, starting earlier, could cover.
         """
-        most, last = 0, len(text) - 1
+        most, last, starts = 0, len(text) - 1, [start for start, _ in spans]
         for a in range(1, last + 1):
+            close = spans[bisect_left(starts, a - QMAX) : bisect_left(starts, a + QMAX)]
             for b in (a, a + 1) if a < last else (a,):
                 n = 0
-                for start, end in spans:
+                for start, end in close:
                     if end <= a:
                         n += text[start:a] in self.heads
                     elif start >= b:
