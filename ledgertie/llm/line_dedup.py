@@ -2,21 +2,24 @@
 
 Lines within one edit of each other have an equal variant: the line itself or the line
 without one character. Lines that differ in one character also lack it at the same
-place. So every line's variants are hashed, lines meet on equal variants, the edit
-distance is verified, and the earliest line stays. A group of equal variants is folded
+place. So every line's variants are hashed, lines meet on equal variants, the variants
+are compared letter by letter, and the earliest line stays. A group of equal variants is folded
 to its earliest line, never to pairs.
 
 Long lines have as many variants as characters. A line is therefore hashed as the
 exclusive or of a hash per word and place, which changes by one word for a character
-and by two for a blank; running values give every variant in constant time. And only
+and by two for a blank; running values give every variant in constant time. Words of more
+than ``LONG_WORD`` characters are hashed in the same way from their characters. And only
 lines that share a half with another line get variants: one edit leaves a half intact.
 
 Everything is DataFrame functions. A line counts without blanks, tabs and carriage
-returns around it; shorter lines than ``min_chars`` are left alone, or from
-``exact_chars`` on go if an earlier line equals them. Order is by document id, then line. Defined results: a null text stays null; an empty one stays empty; a
-null id comes before all others; rows with one id count as one document, whose lines at
-one place are none earlier than the other; a text that loses all lines becomes empty.
-Other columns stay as they are.
+returns around it. It goes if an earlier line equals it, whatever its length unless it is
+empty, and from ``min_chars`` on also if an earlier one is within one edit. Order is by
+document id, null first, then by the hash of the text and the row's number, then by line;
+every row is judged by itself, also where ids are null or repeated. Defined results: a null
+text stays null; an empty one stays empty; a text that loses all lines becomes empty; an
+empty table gives an empty one. Other columns stay as they are, and new ones take other
+names if the table has theirs.
 """
 
 from __future__ import annotations
@@ -24,9 +27,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgertie.llm.tables import free_name, materialise
+from ledgertie.llm.tables import free_name, materialise, numbered
+from ledgertie.sources.session import passing_tables
 
 MIN_CHARS = 20
+LONG_WORD = 32
 
 
 def _xor(a: Column, *others: Column) -> Column:
@@ -35,17 +40,22 @@ def _xor(a: Column, *others: Column) -> Column:
     return a
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """A row per line that counts: document, place, and a 128-bit name of its text."""
+def _split(text: Column) -> Column:
+    return F.split(text.cast("string"), "\n", -1)
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """A row per line that counts: row, place, and a 128-bit name of its text.
+
+    ``docs`` has the columns doc, text and row.
+    """
     split = docs.select(
-        docs[id_col].alias("doc"),
-        F.posexplode(F.split(docs[text_col].cast("string"), "\n", -1)).alias("no", "raw"),
+        "doc", "row", F.xxhash64("text").alias("t"), F.posexplode(_split(F.col("text"))).alias("no", "raw")
     )
     line = F.btrim(F.col("raw"), F.lit(" \t\r"))
-    held = split.select("doc", "no", line.alias("line"))
-    return held.filter(F.length("line") >= min_chars).select(
-        "doc",
-        "no",
+    held = split.select(F.struct("doc", "t", "row", "no").alias("place"), line.alias("line"))
+    return held.filter(F.length("line") > 0).select(
+        "place",
         "line",
         F.xxhash64("line").alias("h"),
         F.xxhash64(F.lit("second"), "line").alias("g"),
@@ -79,14 +89,49 @@ def _sharing_a_half(lines: DataFrame) -> DataFrame:
     return keys.join(shared, "key", "left_semi").select("h").distinct()
 
 
+def _word_hash(word: Column) -> Column:
+    letters = F.transform(F.split(word, ""), lambda letter, i: F.xxhash64(i, letter))
+    long = F.aggregate(letters, F.lit(0).cast("long"), lambda held, x: held.bitwiseXOR(x))
+    return F.when(F.length(word) <= LONG_WORD, F.xxhash64(word)).otherwise(long)
+
+
+def _shorter_words(words: DataFrame) -> DataFrame:
+    """Each word of each line without one of its characters: the hash, and the place in the word."""
+    size = F.length("word")
+    rest = F.concat(F.expr("substring(word, 1, cut - 1)"), F.expr("substring(word, cut + 1)"))
+    short = words.filter(size.between(1, LONG_WORD + 1)).select(
+        "*", F.explode(F.sequence(F.lit(1), size)).alias("cut")
+    )
+    short = short.withColumn("left_over", F.xxhash64(rest))
+    letters = words.filter(size > LONG_WORD + 1).select(
+        "*", F.posexplode(F.split("word", "")).alias("i", "letter")
+    )
+    word = Window.partitionBy("h", "at")
+    until = word.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    here, moved = F.xxhash64("i", "letter"), F.xxhash64(F.col("i") - 1, "letter")
+    long = letters.withColumns(
+        {
+            "cut": F.col("i") + 1,
+            "left_over": _xor(
+                F.bit_xor(here).over(until),
+                here,
+                F.bit_xor(moved).over(word),
+                F.bit_xor(moved).over(until),
+            ),
+        }
+    )
+    return short.unionByName(long.drop("i", "letter"))
+
+
 def _variants(lines: DataFrame) -> DataFrame:
     """All lines and their deletion variants: hash, length, place of the deletion."""
     words = lines.select(
         "h", "first", "size", F.posexplode(F.split("line", " ", -1)).alias("at", "word")
     )
+    words = words.withColumn("name", _word_hash(F.col("word")))
     line = Window.partitionBy("h")
     before = line.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    here, moved = F.xxhash64("at", "word"), F.xxhash64(F.col("at") - 1, "word")
+    here, moved = F.xxhash64("at", "name"), F.xxhash64(F.col("at") - 1, "name")
     none = F.lit(0).cast("long")
     known = words.withColumns({"here": here, "moved": moved}).withColumns(
         {
@@ -96,33 +141,27 @@ def _variants(lines: DataFrame) -> DataFrame:
             "whole": F.bit_xor("here").over(line),
             "moved_whole": F.bit_xor("moved").over(line),
             "next": F.lead("word").over(line.orderBy("at")),
+            "next_name": F.lead("name").over(line.orderBy("at")),
         }
     )
-    size = F.length("word")
-    shorter = F.concat(
-        F.expr("substring(word, 1, cut - 1)"), F.expr("substring(word, cut + 1)")
-    )
-    inside = (
-        known.filter(size > 0)
-        .withColumn("cut", F.explode(F.sequence(F.lit(1), size)))
-        .select(
-            "h",
-            "first",
-            _xor(F.col("whole"), F.col("here"), F.xxhash64("at", shorter)).alias("key"),
-            (F.col("size") - 1).alias("length"),
-            (F.col("start") + F.col("cut")).alias("place"),
-        )
+    inside = _shorter_words(known.select("h", "first", "size", "at", "word", "whole", "here", "start"))
+    inside = inside.select(
+        "h",
+        "first",
+        _xor(F.col("whole"), F.col("here"), F.xxhash64("at", "left_over")).alias("key"),
+        (F.col("size") - 1).alias("length"),
+        (F.col("start") + F.col("cut")).alias("place"),
     )
     after = _xor(
-        F.col("moved_whole"), F.col("moved_before"), F.col("moved"), F.xxhash64("at", "next")
+        F.col("moved_whole"), F.col("moved_before"), F.col("moved"), F.xxhash64("at", "next_name")
     )
-    joined = F.xxhash64("at", F.concat("word", "next"))
+    joined = F.xxhash64("at", _word_hash(F.concat("word", "next")))
     blanks = known.filter(F.col("next").isNotNull()).select(
         "h",
         "first",
         _xor(F.col("before"), joined, after).alias("key"),
         (F.col("size") - 1).alias("length"),
-        (F.col("start") + size + 1).alias("place"),
+        (F.col("start") + F.length("word") + 1).alias("place"),
     )
     itself = known.filter("at = 0").select(
         "h",
@@ -134,11 +173,16 @@ def _variants(lines: DataFrame) -> DataFrame:
     return inside.unionByName(blanks).unionByName(itself)
 
 
+def _without(text: str, cut: str) -> str:
+    """SQL for a text without the character at ``cut``, or whole where that is null."""
+    return f"concat(left({text}, coalesce({cut} - 1, length({text}))), substring({text}, coalesce({cut} + 1, length({text}) + 1)))"
+
+
 def _earlier_neighbours(lines: DataFrame) -> DataFrame:
     """Lines with the earliest line within one edit, where that is earlier (h, near)."""
     variants = _variants(lines)
     alike = Window.partitionBy("key", "length")
-    own = F.struct("first", "h")
+    own = F.struct("first", "h", "place")
     deleted, kept = F.col("place").isNotNull(), F.col("place").isNull()
     met = variants.withColumns(
         {
@@ -154,72 +198,78 @@ def _earlier_neighbours(lines: DataFrame) -> DataFrame:
         F.when(deleted, F.array("swapped", "shorter")).otherwise(F.array("longer"))
     )
     pairs = (
-        met.select("h", "first", candidate.alias("other"))
+        met.select("h", "first", "place", candidate.alias("other"))
         .filter(F.col("other")["first"] < F.col("first"))
-        .select("h", F.col("other")["h"].alias("other"), F.col("other")["first"].alias("near"))
+        .select(
+            "h",
+            F.col("other")["h"].alias("other"),
+            F.col("other")["first"].alias("near"),
+            F.col("place").cast("int").alias("cut"),
+            F.col("other")["place"].cast("int").alias("other_cut"),
+        )
         .distinct()
     )
     texts = lines.select("h", "line")
     others = texts.select(F.col("h").alias("other"), F.col("line").alias("text"))
-    distance = F.levenshtein("line", "text", 1)
-    verified = pairs.join(texts, "h").join(others, "other").filter(distance.between(0, 1))
+    same = F.expr(f"{_without('line', 'cut')} = {_without('text', 'other_cut')}")
+    verified = pairs.join(texts, "h").join(others, "other").filter(same)
     return verified.groupBy("h").agg(F.min("near").alias("near"))
 
 
-def removed_lines(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    min_chars: int = MIN_CHARS,
-    exact_chars: int | None = None,
-) -> DataFrame:
-    """Lines that an earlier line equals up to one edit (doc, no), short ones exactly."""
-    exact_chars = min_chars if exact_chars is None else min(exact_chars, min_chars)
-    lines = _lines(docs, id_col, text_col, exact_chars)
-    long = lines.filter(F.length("line") >= min_chars) if exact_chars < min_chars else lines
-    place = F.struct("doc", "no")
+def _cuts(lines: DataFrame, min_chars: int) -> DataFrame:
+    """Lines that come more than once or have an earlier neighbour, and the one that stays."""
+    long = lines.filter(F.length("line") >= min_chars)
     sharing = materialise(_sharing_a_half(long), "sharing")
-    distinct = long.groupBy("h", "g").agg(F.min(place).alias("first"), F.max("line").alias("line"))
+    distinct = long.groupBy("h", "g").agg(F.min("place").alias("first"), F.max("line").alias("line"))
     compared = materialise(
         distinct.join(sharing, "h", "left_semi").withColumn("size", F.length("line")), "compared"
     )
     near = materialise(_earlier_neighbours(compared), "near")
     near = compared.join(near, "h").select("h", "g", F.col("near").alias("first"))
-    repeated = lines.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    repeated = lines.groupBy("h", "g").agg(F.min("place").alias("first"), F.count("*").alias("n"))
     repeated = repeated.filter("n > 1").drop("n")
     cuts = near.unionByName(repeated).groupBy("h", "g").agg(F.min("first").alias("keeps"))
-    later = lines.select("h", "g", "doc", "no").join(materialise(cuts, "cuts"), ["h", "g"])
-    return later.filter(place > F.col("keeps")).select("doc", "no")
+    return materialise(cuts, "cuts", lasting=True)
+
+
+def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """Lines of (doc, text, row) that an earlier line equals, long ones up to one edit (row, no)."""
+    lines = _lines(docs)
+    with passing_tables(docs.sparkSession):
+        cuts = _cuts(lines, min_chars)
+    later = lines.select("h", "g", "place").join(cuts, ["h", "g"])
+    later = later.filter(F.col("place") > F.col("keeps"))
+    return later.select(F.col("place")["row"].alias("row"), F.col("place")["no"].alias("no"))
 
 
 def dedup_lines(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    min_chars: int = MIN_CHARS,
-    exact_chars: int | None = None,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS
 ) -> DataFrame:
     """``docs`` without repeated lines, and the numbers of lines and of removed ones.
 
-    A line goes if an earlier one, of any document, is within one edit of it, whether
-    or not that one stays itself. Lines shorter than ``min_chars``, if they have
-    ``exact_chars`` or more, go if an earlier one is equal.
+    A line goes if an earlier one, of any row, is equal, or from ``min_chars`` characters
+    on within one edit of it, whether or not that one stays itself.
     """
-    removed = removed_lines(docs, id_col, text_col, min_chars, exact_chars)
-    gone = removed.groupBy("doc").agg(F.collect_set("no").alias("_gone"))
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone["doc"]), "left")
-    split = F.split(docs[text_col].cast("string"), "\n", -1)
-    total, lost = F.size("_lines"), F.coalesce(F.size("_gone"), F.lit(0))
-    stay = F.array_except(F.expr("sequence(0, size(_lines) - 1)"), F.col("_gone"))
-    rest = F.array_join(F.transform(stay, lambda i: F.col("_lines")[i]), "\n")
-    told = joined.withColumn("_lines", split)
-    text = F.when(F.col("_gone").isNull(), docs[text_col]).otherwise(rest)
-    lines, gone_lines = free_name(docs, "n_lines"), free_name(docs, "n_removed")
+    names = ["_row", "_gone", "_lines", "n_lines", "n_removed"]
+    row, gone, lines, n_lines, n_removed = (free_name(docs, name) for name in names)
+    rows = numbered(docs, row)
+    text = F.col(f"`{text_col}`")
+    own = rows.select(
+        F.col(f"`{id_col}`").alias("doc"), text.cast("string").alias("text"), F.col(row).alias("row")
+    )
+    removed = removed_lines(own, min_chars).groupBy(F.col("row").alias(f"{row}_of"))
+    removed = removed.agg(F.collect_set("no").alias(gone))
+    told = rows.join(removed, F.col(row) == F.col(f"{row}_of"), "left")
+    told = told.withColumn(lines, _split(text))
+    total, lost = F.size(lines), F.coalesce(F.size(gone), F.lit(0))
+    stay = F.array_except(F.sequence(F.lit(0), total - 1), F.col(gone))
+    rest = F.array_join(F.transform(stay, lambda i: F.col(lines)[i]), "\n")
+    kept = F.when(F.col(gone).isNull(), text).otherwise(rest)
     columns = [
-        text.alias(name) if name == text_col else docs[name] for name in docs.columns
+        kept.alias(name) if name == text_col else F.col(f"`{name}`") for name in docs.columns
     ]
     return told.select(
         *columns,
-        F.when(F.col("_lines").isNull(), 0).otherwise(total).cast("long").alias(lines),
-        lost.cast("long").alias(gone_lines),
+        F.when(F.col(lines).isNull(), 0).otherwise(total).cast("long").alias(n_lines),
+        lost.cast("long").alias(n_removed),
     )

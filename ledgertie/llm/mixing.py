@@ -4,20 +4,21 @@ Each document is repeated a Poisson-distributed number of times, whose mean is t
 that brings its source to its target weight. The number is the inverse of the Poisson
 distribution at a uniform number hashed from the seed and the document's id, so it does
 not depend on partitions or retries, and no source has to be counted out or sorted.
+Where the id is null or several rows have it, the row's number is hashed with it: each
+row draws for itself, so weights are met and rows spread whatever the ids.
 
 Defined results: a null source is a source of its own; a source without a target weight
-or with weight 0 is left out; rows with one id repeat alike, and a null id hashes as the
-word null; a null or empty text is mixed like any other; an empty table gives an empty
-one. Texts are carried as they are. The new column takes another name if the table
-already has one of its name.
+or with weight 0 is left out; a null id hashes as the word null; a null or empty text is
+mixed like any other; an empty table gives an empty one. Texts are carried as they are.
+New columns take other names if the table already has theirs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgertie.llm.tables import free_name, materialise
+from ledgertie.llm.tables import free_name, materialise, numbered
 
 TEMPERATURE = 0.5
 SEED = "mix-1"
@@ -33,25 +34,24 @@ def hashed(seed: str, *columns: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), *parts))
 
 
-def poisson_steps(rate: Column) -> Column:
-    """P(X <= 0), P(X <= 1), ... of a Poisson variable, until the rest is below 1e-16."""
+def poisson_steps(known: DataFrame) -> DataFrame:
+    """Sources with P(X <= 0), P(X <= 1), ... at their rates, until the rest is below 1e-16.
+
+    Takes (source, rate) and returns (source, steps). There are as many steps as a
+    source's documents are repeated, and a few dozen more; their logarithms are summed.
+    """
+    rate, k = F.col("rate"), F.col("k").cast("double")
     last = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    first = F.exp(-rate)
-    start = F.struct(
-        (-rate).alias("log"), first.alias("sum"), F.array(first).alias("steps")
+    so_far = Window.partitionBy("source").orderBy("k")
+    log = F.sum(F.when(k > 0, F.log(rate) - F.log(k)).otherwise(-rate)).over(so_far)
+    below = F.sum(F.exp("log")).over(so_far)
+    steps = (
+        known.select("source", "rate", F.explode(F.sequence(F.lit(0), last)).alias("k"))
+        .withColumn("log", log)
+        .withColumn("step", F.struct("k", below.alias("below")))
     )
-
-    def step(state: Column, k: Column) -> Column:
-        log = state["log"] + F.log(rate) - F.log(k.cast("double"))
-        total = state["sum"] + F.exp(log)
-        return F.struct(
-            log.alias("log"),
-            total.alias("sum"),
-            F.concat(state["steps"], F.array(total)).alias("steps"),
-        )
-
-    steps = F.aggregate(F.sequence(F.lit(1), last), start, step, lambda s: s["steps"])
-    return F.when(rate > 0, steps).otherwise(F.array(F.lit(1.0)))
+    listed = F.array_sort(F.collect_list("step"))["below"]
+    return steps.groupBy("source").agg(listed.alias("steps"))
 
 
 def rates(
@@ -99,23 +99,28 @@ def mix(
     every partition is a random part of the mixture, in random order.
     """
     copy = free_name(docs, "copy")
+    names = ["_of", "_steps", "_place", "_times", "_order", "_row", "_self", "_again"]
+    of, steps, place, times, order, row, own, again = (free_name(docs, name) for name in names)
     known = rates(docs, weights, source_col, temperature, epochs)
-    steps = materialise(
-        known.select(F.col("source").alias("_of"), poisson_steps(F.col("rate")).alias("_steps")),
-        "rates",
-    )
-    drawn = docs.join(steps, docs[source_col].eqNullSafe(steps["_of"]))
-    place = uniform(seed, F.col(id_col))
-    times = F.size(F.filter("_steps", lambda step: step <= F.col("_place")))
+    known = materialise(poisson_steps(known), "rates").toDF(of, steps)
+    ids = docs.select(F.col(f"`{id_col}`").alias(again)).filter(F.col(again).isNotNull())
+    ids = materialise(ids.groupBy(again).count().filter("count > 1").select(again), "repeated_ids")
+    drawn = numbered(docs, row)
+    drawn = drawn.join(known, drawn[source_col].eqNullSafe(known[of]))
+    drawn = drawn.join(ids, F.col(f"`{id_col}`") == F.col(again), "left")
+    alone = F.col(f"`{id_col}`").isNotNull() & F.col(again).isNull()
+    text_id = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null"))
+    text_id = F.when(alone, text_id).otherwise(F.concat_ws(":", text_id, row))
     repeated = (
-        drawn.withColumn("_place", place)
-        .withColumn("_times", times)
-        .filter("_times > 0")
-        .withColumn(copy, F.explode(F.expr("sequence(1, _times)")))
-        .withColumn("_order", hashed(f"{seed}-order", F.col(id_col), F.col(copy)))
+        drawn.withColumn(own, text_id)
+        .withColumn(place, uniform(seed, F.col(own)))
+        .withColumn(times, F.size(F.filter(steps, lambda step: step <= F.col(place))))
+        .filter(F.col(times) > 0)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+        .withColumn(order, hashed(f"{seed}-order", F.col(own), F.col(copy)))
     )
     return (
-        repeated.repartition("_order")
-        .sortWithinPartitions("_order")
+        repeated.repartition(order)
+        .sortWithinPartitions(order)
         .select(*(F.col(f"`{name}`") for name in docs.columns), copy)
     )

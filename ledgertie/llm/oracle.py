@@ -91,11 +91,12 @@ WITH l AS (
               FROM documents))),
 d AS (
   SELECT x, length(x) AS n, min({'d': doc_id, 'n': no}) AS low FROM l
-  WHERE length(x) >= 20 GROUP BY x),
+  WHERE length(x) >= 1 GROUP BY x),
 k AS (
-  SELECT x, n, low, m, 'first' AS side, left(x, m // 2) AS half FROM d, unnest([n, n - 1]) AS u(m)
+  SELECT x, n, low, m, 'first' AS side, left(x, m // 2) AS half
+  FROM d, unnest([n, n - 1]) AS u(m) WHERE n >= 20
   UNION ALL
-  SELECT x, n, low, m, 'last', right(x, m // 2) FROM d, unnest([n, n - 1]) AS u(m)),
+  SELECT x, n, low, m, 'last', right(x, m // 2) FROM d, unnest([n, n - 1]) AS u(m) WHERE n >= 20),
 near AS (
   SELECT a.x, min(b.low) AS low FROM k a JOIN k b USING (m, side, half)
   WHERE a.x <> b.x AND m = least(a.n, b.n) AND levenshtein(a.x, b.x) <= 1 GROUP BY a.x),

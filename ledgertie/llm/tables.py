@@ -5,12 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgertie.sources.session import materialise
 
-__all__ = ["documents", "free_name", "id_and_text", "materialise", "range_parts", "read"]
+__all__ = [
+    "documents",
+    "free_name",
+    "id_and_text",
+    "materialise",
+    "numbered",
+    "range_parts",
+    "read",
+]
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -82,3 +91,28 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+FILE_ROWS = 1 << 40  # more than a file has
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number for each row in the new column ``name``, the same in every use.
+
+    Rows of files are numbered by their file and their place in it, so nothing is
+    written and a lost executor changes no number. The files are numbered in a table with a
+    row for each, which Spark joins by its size. Any other table is written once.
+    """
+    path, place = free_name(df, "_file"), free_name(df, "_place")
+    try:
+        files = df.select(F.col("_metadata.file_path").alias(path)).distinct()
+        placed = df.select(
+            "*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place)
+        )
+    except AnalysisException:
+        return materialise(df.withColumn(name, F.monotonically_increasing_id()), "numbered", True)
+    number = F.row_number().over(Window.orderBy(path)).cast("long") - 1
+    files = materialise(files.withColumn(name, number), "files", True)
+    held = placed.join(files, path)
+    row = F.col(name) * FILE_ROWS + F.col(place)
+    return held.withColumn(name, row).select(*(F.col(f"`{c}`") for c in df.columns), name)

@@ -7,8 +7,10 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from ledgertie.llm import pii, toxicity
+from ledgertie.llm import line_dedup, mixing, pii, toxicity
 from ledgertie.llm.text import PLAIN_WORDS, as_bytes, words_of
 
 
@@ -103,3 +105,53 @@ def test_personal_data_segments_hold_a_card_digit_by_digit():
         stretch = " ".join(digits)
         arcs = pii.Lattice(stretch).arcs
         assert (0, 2 * len(digits) - 1, pii.TYPES.index("card")) in [arc[:3] for arc in arcs]
+
+
+def test_line_dedup_judges_rows_and_not_ids(spark):
+    unique = "a line that no other row has at all"
+    common = "a line of more than twenty characters"
+    rows = [(None, f"{common}\n{common}"), (None, f"x\n{unique}"), (5, f"{common}\ny"), (5, f"z\n{unique}s")]
+    rows += [(7, "same\nrow"), (7, "same\nrow"), (8, None), (8, "")]
+    schema = "doc_id long, text string, _gone int, _lines int, _row int, n_lines int"
+    docs = spark.createDataFrame([(*row, 1, 2, 3, 4) for row in rows], schema)
+    got = line_dedup.dedup_lines(docs)
+    assert got.columns[:6] == docs.columns and got.filter("_gone + _lines + _row + n_lines <> 10").count() == 0
+    want = [(None, common), (None, f"x\n{unique}"), (5, "y"), (5, "z"), (7, "same\nrow"), (7, ""), (8, None), (8, "")]
+    assert told(got) == sorted(want, key=str)
+
+
+def test_line_dedup_of_long_words(spark):
+    draw = random.Random(6)
+    long = "".join(draw.choices("abcé中", k=200_000))
+    cut = long[:70_000] + long[70_001:]
+    two = long[:50] + long[60:]
+    edge = ["".join(draw.choices("abcé", k=n)) for n in (32, 33, 34)]
+    rows = [(1, f"on {long} end"), (2, f"on {cut} end"), (3, f"on {two} end"), (4, f"on{long} end")]
+    rows += [(5, long[:40] + " " + long[40:80]), (6, long[:80])]
+    rows += [(10 + i, f"edge of {word} here") for i, word in enumerate(edge)]
+    rows += [(20 + i, f"edge of {word[:9] + word[10:]} here") for i, word in enumerate(edge)]
+    rows += [(30 + i, f"edge of {word[:9]}#{word[10:]} here") for i, word in enumerate(edge)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {r.doc_id for r in line_dedup.dedup_lines(docs).filter("n_removed > 0").collect()}
+    assert gone == {2, 4, 6, *range(20, 23), *range(30, 33)}
+
+
+def test_mixing_draws_for_each_row(spark):
+    rows = [(None, "a") for _ in range(3000)] + [(7, "b") for _ in range(1000)]
+    schema = "doc_id long, source string, _of int, _steps int, _place int, _times int, _order int, _row int"
+    docs = spark.createDataFrame([(*row, 1, 2, 3, 4, 5, 6) for row in rows], schema).repartition(4)
+    weights = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "source string, weight double")
+    mixed = mixing.mix(docs, weights)
+    assert mixed.columns == [*docs.columns, "copy"]
+    assert mixed.filter("_of * 100000 + _steps * 10000 + _place * 1000 + _times * 100 + _order * 10 + _row <> 123456").count() == 0
+    counts = {r.source: r["count"] for r in mixed.groupBy("source").count().collect()}
+    assert abs(counts["a"] - 1000) < 100 and abs(counts["b"] - 3000) < 170
+    spread = [r["count"] for r in mixed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(spread) > 1 or sum(spread) < 5000  # one partition only if Spark joined small ones
+
+
+def test_mixing_at_a_high_rate(spark):
+    docs = spark.createDataFrame([(1, "rare"), *((i, "big") for i in range(2, 4002))], "doc_id long, source string")
+    weights = spark.createDataFrame([("rare", 1.0), ("big", 1.0)], "source string, weight double")
+    mixed = {r.source: r["count"] for r in mixing.mix(docs, weights, epochs=5.0).groupBy("source").count().collect()}
+    assert abs(mixed["rare"] - 10_000) < 600 and abs(mixed["big"] - 10_000) < 600
