@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgertie.functions.labels import break_label, fraction_of
 from ledgertie.functions.variance import total, variance_pct
+from ledgertie.operators.ordered import cut_points
+from ledgertie.operators.rollups import rollup_balance
 from ledgertie.operators.trend import DETAIL_TIE_OUT, FILED_TIE_OUT
 from ledgertie.sources.schemas import KEYS, PERIOD, PRODUCT, REGISTER
 
@@ -34,13 +36,30 @@ def apply_deltas(
 ) -> DataFrame:
     """Balances plus the sum of their deltas; an account without one keeps its balance.
 
-    A delta for an account without a row opens that account, with NULL in the other
-    columns, so what was taken from one account always arrives at another.
+    An account of several rows has its delta on one of them, the least by all columns,
+    and of equal rows on one: rows are counted, and the least comes once more often with
+    the delta than without. A delta for an account without a row opens that account, with
+    NULL in the other columns, so what was taken from one account always arrives at another.
     """
     summed = deltas.groupBy(*keys).agg(total(F.sum(delta)).alias("_delta"))
-    held, moved = total(F.col(amt)), F.col("_delta")
-    after = total(F.coalesce(held + moved, held, moved))
-    return df.join(summed, keys, "full").withColumn(amt, after).drop("_delta")
+    others = [name for name in df.columns if name not in keys]
+    alike = df.groupBy(*df.columns).agg(F.count("*").alias("_rows"))
+    least = alike.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_least"))
+    moved = least.join(summed, keys, "full").select(*keys, "_least", "_delta")
+    placed = alike.join(moved, keys, "full")
+    here = F.col("_delta").isNotNull() & (F.struct(*others).eqNullSafe(F.col("_least")))
+    opened = F.col("_rows").isNull()
+    rest = F.when(opened, 0).otherwise(F.col("_rows") - here.cast("int"))
+    copies = F.array_repeat(F.lit(False), rest.cast("int"))
+    copies = F.when(here | opened, F.array_append(copies, F.lit(True))).otherwise(copies)
+    held, change = total(F.col(amt)), F.col("_delta")
+    after = F.when(F.col("_moved"), total(F.coalesce(held + change, held, change))).otherwise(held)
+    return (
+        placed.withColumn("_moved", F.explode(copies))
+        .withColumn(amt, total(after))
+        .select(*keys, *others)
+        .select(*df.columns)
+    )
 
 
 def unmatched_scenarios(
@@ -53,8 +72,11 @@ def unmatched_scenarios(
 def timing_deltas(
     df: DataFrame, scenarios: DataFrame, keys: list[str] = KEYS, amt: str = "gl_balance"
 ) -> DataFrame:
-    """The amounts by which one-sided adjustments reduce accounts (keys and ``fraction``)."""
-    return scenarios.join(df.select(*keys, amt), keys).withColumn(
+    """The amounts by which one-sided adjustments reduce accounts (keys and ``fraction``).
+
+    The fraction is of the account's whole balance, in however many rows it lies.
+    """
+    return scenarios.join(rollup_balance(df, keys, amt), keys).withColumn(
         "delta", -fraction_of(F.col(amt), F.col("fraction"))
     )
 
@@ -78,7 +100,7 @@ def mapping_deltas(
     ``moves`` has the other keys, the two products and the fraction of the source's
     balance that moves. Each row also carries its own account's balance.
     """
-    balances = df.select(*keys, amt)
+    balances = rollup_balance(df, keys, amt)
     others = [key for key in keys if key != product]
     moved = moves.join(
         balances.withColumnRenamed(product, "source"), [*others, "source"]
@@ -153,6 +175,25 @@ def moved_loans(
     )
 
 
+def moved_until(
+    detail: DataFrame,
+    scenarios: DataFrame,
+    keys: list[str] = KEYS,
+    order: str = "position",
+    amt: str = "loan_amount",
+) -> DataFrame:
+    """The same for all scenarios at once, from the cuts alone: no loan is marked.
+
+    ``scenarios`` has a row per account: ``break_type``, ``break_no`` and ``target``. Late
+    feeds take loans from the end, so their order (a number) counts backwards.
+    """
+    aimed = detail.join(scenarios, keys)
+    late = F.col("break_type") == "late_feed"
+    placed = aimed.withColumn("_place", F.when(late, -F.col(order)).otherwise(F.col(order)))
+    cuts = cut_points(placed, keys, ["_place"], amt, "target").drop("_cut")
+    return cuts.join(scenarios.select(*keys, "break_type", "break_no"), keys)
+
+
 def detail_register(
     kind: str, moved: DataFrame, gl: DataFrame, keys: list[str] = KEYS, gl_amt: str = "gl_balance"
 ) -> DataFrame:
@@ -166,7 +207,7 @@ def detail_register(
     amount = total(F.col("moved_amount"))
     amount = -amount if late else amount
     notes = F.format_string(LATE_FEED_NOTE if late else DUPLICATE_LOAD_NOTE, "moved_loans")
-    planted = moved.join(gl.select(*keys, gl_amt), keys)
+    planted = moved.join(rollup_balance(gl, keys, gl_amt), keys)
     return _register(planted, kind, amount, F.col(gl_amt), notes, keys)
 
 

@@ -18,7 +18,6 @@ from ledgertie.functions.labels import (
 )
 from ledgertie.functions.variance import total
 from ledgertie.operators import allocate, offsets, quality, report, rollups, tieouts, trend, whatif
-from ledgertie.operators.ordered import mark_until
 from ledgertie.sources import bindings
 from ledgertie.sources.bindings import Feeds
 from ledgertie.sources.feeds import (
@@ -222,11 +221,13 @@ def _reclass_totals(f: Feeds) -> DataFrame:
 
 
 def _unmatched_scenarios(f: Feeds) -> DataFrame:
-    """Adjustments and moves out of accounts that the ledger does not have."""
+    """Adjustments and moves out of accounts that the ledger, less product 1 of EUROPE, lacks."""
+    lacking = (F.col("entity") == "EUROPE") & F.col("product").startswith("1")
+    gl = f.gl.filter(~lacking)
     moves = bindings.mapping_moves(f).withColumnRenamed("source", "product")
     kinds = {"timing_difference": bindings.timing_scenarios(f), "mapping_error": moves}
     timing, mapping = (
-        whatif.unmatched_scenarios(f.gl, scenarios).select(*KEYS, F.lit(kind).alias("kind"))
+        whatif.unmatched_scenarios(gl, scenarios).select(*KEYS, F.lit(kind).alias("kind"))
         for kind, scenarios in kinds.items()
     )
     return timing.unionByName(mapping)
@@ -236,18 +237,54 @@ def _run_date():
     return F.date_add(period_end(F.col("quarter")), 8)
 
 
-def _register(f: Feeds) -> DataFrame:
+def _register_of(f: Feeds, gl: DataFrame) -> DataFrame:
     """Late feeds on code 1, replays on code 2, timing on code 8, and the mapping moves."""
-    parts = []
-    for kind, code, from_end in (("late_feed", 1, True), ("duplicate_load", 2, False)):
-        loans = f.base.join(bindings.loan_targets(f, code), KEYS)  # scenario accounts alone
-        taken = mark_until(loans, KEYS, ["k"], "loan_amount", "target", descending=from_end)
-        parts.append(whatif.detail_register(kind, whatif.moved_loans(taken), f.gl))
-    parts.append(whatif.timing_register(bindings.timing_scenarios(f), f.gl, _run_date()))
-    parts.append(whatif.mapping_register(bindings.mapping_moves(f), f.gl))
+    kinds = {"late_feed": 1, "duplicate_load": 2}
+    planned = (
+        bindings.loan_targets(f, code).withColumn("break_type", F.lit(kind))
+        for kind, code in kinds.items()
+    )
+    scenarios = materialise(reduce(DataFrame.unionByName, planned), "scenarios")
+    moved = materialise(whatif.moved_until(f.base, scenarios, order="k"), "moved")
+    parts = [
+        whatif.detail_register(kind, moved.filter(F.col("break_type") == kind), gl)
+        for kind in kinds
+    ]
+    parts.append(whatif.timing_register(bindings.timing_scenarios(f), gl, _run_date()))
+    parts.append(whatif.mapping_register(bindings.mapping_moves(f), gl))
     return whatif.assemble_register(*parts)
 
 
+def _register(f: Feeds) -> DataFrame:
+    return _register_of(f, f.gl)
+
+
+def _split_gl(f: Feeds) -> DataFrame:
+    """The ledger with two rows an account in ASIA."""
+    return _in_two(f.gl, "gl_balance", "ASIA")
+
+
+def _split_what_if(f: Feeds) -> DataFrame:
+    """Balances of the split ledger, row by row, after all adjustments and moves."""
+    gl = _split_gl(f)
+    deltas = whatif.timing_deltas(gl, bindings.timing_scenarios(f)).select(*KEYS, "delta")
+    moved = whatif.mapping_deltas(gl, bindings.mapping_moves(f)).select(*KEYS, "delta")
+    return whatif.apply_deltas(
+        gl.select(*KEYS, "gl_balance"), deltas.unionByName(moved), KEYS, "gl_balance"
+    )
+
+
+def _split_totals(f: Feeds) -> DataFrame:
+    """Totals of the split ledger per entity and quarter before and after the moves."""
+    by, gl = ["entity", "quarter"], _split_gl(f)
+    moved = whatif.reclass_balance(gl, bindings.mapping_moves(f))
+    before, after = (
+        df.groupBy(*by).agg(total(F.sum("gl_balance")).alias(name))
+        for df, name in ((gl, "total_before"), (moved, "total_after"))
+    )
+    return before.join(after, by, "full")
+
+
 def _filed_from_gl(f: Feeds) -> DataFrame:
     deltas = whatif.timing_deltas(f.gl, bindings.timing_scenarios(f)).select(*KEYS, "delta")
     moved = whatif.mapping_deltas(f.gl, bindings.mapping_moves(f)).select(*KEYS, "delta")
@@ -524,6 +561,9 @@ def registry() -> dict[str, Query]:
         "reclass_totals": _reclass_totals,
         "unmatched_scenarios": _unmatched_scenarios,
         "expected_breaks": _register,
+        "expected_breaks_split": lambda f: _register_of(f, _split_gl(f)),
+        "what_if_split": _split_what_if,
+        "reclass_totals_split": _split_totals,
         "filed_from_gl": _filed_from_gl,
         "account_labels": _account_labels,
         # grading
