@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgertie.functions.variance import BREAK, DEFAULT_THRESHOLD, PASS, total, total_or_zero
+from ledgertie.operators import gaps
 from ledgertie.operators.rollups import rollup_balance
 from ledgertie.operators.tieouts import filed_branches
 from ledgertie.operators.trend import DETAIL_TIE_OUT, FILED_TIE_OUT, stack_breaks
-from ledgertie.operators.whatif import FAILURE_MODES, universe
+from ledgertie.operators.whatif import FAILURE_MODES
 from ledgertie.sources.schemas import KEYS, PERIOD, PRODUCT
 
 
@@ -337,7 +338,7 @@ def frame_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def universe_gaps(df: DataFrame, dims: list[str] = KEYS) -> DataFrame:
     """Accounts that the reporting dimensions allow but the table does not hold."""
-    return universe(df, dims).join(df.select(*dims), dims, "left_anti")
+    return gaps.universe_gaps(df, dims)
 
 
 def content_digest(df: DataFrame) -> DataFrame:

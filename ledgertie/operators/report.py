@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,16 @@ TREND_LABELS = {
     "extract_break_amount": "GL vs extract",
 }
 
+SCOPES = ["entity", "quarter"]  # what a report is filtered by
+EVERY = "ALL"
+KPI_COLUMNS = [
+    "accounts_in_scope",
+    "accounts_with_breaks",
+    "break_rate_pct",
+    "total_break_amount",
+    "largest_break",
+]
+
 
 def scope(
     df: DataFrame, quarters: list[str] | None = None, entities: list[str] | None = None
@@ -69,6 +80,80 @@ def kpis(detail: DataFrame, filed: DataFrame, keys: list[str] = KEYS) -> DataFra
     )
 
 
+def kpi_cells(
+    detail: DataFrame, filed: DataFrame, dims: list[str] = SCOPES, keys: list[str] = KEYS
+) -> DataFrame:
+    """Key figures of each cell of the reporting dimensions, from which those of any scope follow.
+
+    The dimensions are part of the account key, so an account lies in one cell and its
+    breaks are counted once: numbers of accounts add up over cells as amounts do, and a
+    filter needs no results again, only the cells it names.
+    """
+    if not set(dims) <= set(keys):
+        raise ValueError(f"{dims} must be part of the account key {keys}")
+
+    def side(result: DataFrame, counted: int) -> DataFrame:
+        return result.select(*keys, "status", "variance", F.lit(counted).alias("counted"))
+
+    amount = F.when(F.col("status") == BREAK, F.abs("variance"))
+    accounts = (
+        side(detail, 1)
+        .unionByName(side(filed, 0))
+        .groupBy(*keys)
+        .agg(
+            F.sum("counted").alias("accounts_in_scope"),
+            F.max((F.col("status") == BREAK).cast("int")).alias("accounts_with_breaks"),
+            F.sum(amount).alias("total_break_amount"),
+            F.max(amount).alias("largest_break"),
+        )
+    )
+    return accounts.groupBy(*dims).agg(*_folded_figures())
+
+
+def _folded_figures() -> list:
+    sums = [F.sum(name).alias(name) for name in ("accounts_in_scope", "accounts_with_breaks")]
+    return [
+        *sums,
+        total_or_zero(F.sum("total_break_amount")).alias("total_break_amount"),
+        total_or_zero(F.max("largest_break")).alias("largest_break"),
+    ]
+
+
+def _with_rate(figures: DataFrame) -> DataFrame:
+    size = F.nullif("accounts_in_scope", F.lit(0))
+    rate = F.round(F.coalesce(F.lit(100.0) * F.col("accounts_with_breaks") / size, F.lit(0.0)), 1)
+    counts = ["accounts_in_scope", "accounts_with_breaks"]
+    zeros = {name: F.coalesce(name, F.lit(0).cast("long")) for name in counts}
+    return figures.withColumns({**zeros, "break_rate_pct": rate})
+
+
+def kpis_of_scope(
+    cells: DataFrame, quarters: list[str] | None = None, entities: list[str] | None = None
+) -> DataFrame:
+    """Key figures of a report's scope from :func:`kpi_cells`: one row, as :func:`kpis` gives it."""
+    figures = scope(cells, quarters, entities).agg(*_folded_figures())
+    return _with_rate(figures).select(*KPI_COLUMNS)
+
+
+def kpi_cube(cells: DataFrame, dims: list[str] = SCOPES) -> DataFrame:
+    """Key figures of every scope of one or all values of each dimension; ``ALL`` is all of them."""
+    figures = cells.cube(*dims).agg(*_folded_figures(), *(F.grouping(d).alias(f"_{d}") for d in dims))
+    named = {d: F.when(F.col(f"_{d}") == 1, EVERY).otherwise(F.col(d)) for d in dims}
+    return _with_rate(figures.withColumns(named)).select(*dims, *KPI_COLUMNS)
+
+
+def cause_cube(result: DataFrame, dims: list[str] = SCOPES) -> DataFrame:
+    """Breaks per root cause in every such scope."""
+    counted = breaks_only(result).groupBy(*dims, "root_cause").agg(F.count("*").alias("breaks"))
+    sets = [[*chosen, "root_cause"] for n in range(len(dims) + 1) for chosen in combinations(dims, n)]
+    columns = [F.col(name) for name in [*dims, "root_cause"]]
+    rolled = counted.groupingSets([[F.col(c) for c in held] for held in sets], *columns).agg(
+        F.sum("breaks").alias("breaks"), *(F.grouping(d).alias(f"_{d}") for d in dims)
+    )
+    named = {d: F.when(F.col(f"_{d}") == 1, EVERY).otherwise(F.col(d)) for d in dims}
+    return rolled.withColumns(named).select(*dims, "root_cause", "breaks")
+
+
 def cause_counts(result: DataFrame) -> DataFrame:
     """Breaks per root cause, most frequent first."""
     return (

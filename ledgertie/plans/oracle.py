@@ -434,6 +434,39 @@ gl_sum AS (
     SELECT {_KEY}, delta FROM timing UNION ALL SELECT {_KEY}, delta FROM mapping) GROUP BY ALL)""",
 )
 
+def _partners_within(tolerance: str) -> str:
+    return f""" SELECT f.entity, f.product, f."quarter", max(o.product) AS offsetting_product
+      FROM flag2 f JOIN flag2 o
+        ON o.entity = f.entity AND o."quarter" = f."quarter" AND o.product <> f.product
+       AND o.variance <> 0 AND abs(o.variance + f.variance) < {tolerance}
+      WHERE f.status = 'BREAK' AND o.status = 'BREAK' GROUP BY ALL"""
+
+
+# Key figures of every scope: detail breaks and filed breaks, each account once.
+_CUBE = """, judged AS (
+    SELECT entity, product, "quarter", variance, status, 1 AS counted FROM flag1
+    UNION ALL SELECT entity, product, "quarter", variance, status, 0 FROM flag2)
+  SELECT CASE WHEN grouping(entity) = 1 THEN 'ALL' ELSE entity END AS entity,
+    CASE WHEN grouping("quarter") = 1 THEN 'ALL' ELSE "quarter" END AS "quarter",
+    CAST(sum(counted) AS BIGINT) AS accounts_in_scope,
+    count(DISTINCT (entity, product, "quarter")) FILTER (status = 'BREAK') AS accounts_with_breaks,
+    round(coalesce(100.0::DOUBLE * accounts_with_breaks / nullif(accounts_in_scope, 0), 0), 1)
+      AS break_rate_pct,
+    CAST(coalesce(sum(abs(variance)) FILTER (status = 'BREAK'), 0) AS DECIMAL(38,2))
+      AS total_break_amount,
+    CAST(coalesce(max(abs(variance)) FILTER (status = 'BREAK'), 0) AS DECIMAL(38,2))
+      AS largest_break
+  FROM judged GROUP BY CUBE (judged.entity, judged."quarter")"""
+_CAUSE_CUBE = " UNION ALL ".join(
+    f"""SELECT CASE WHEN grouping(entity) = 1 THEN 'ALL' ELSE entity END AS entity,
+      CASE WHEN grouping("quarter") = 1 THEN 'ALL' ELSE "quarter" END AS "quarter",
+      root_cause, count(*) AS breaks, '{name}' AS reconciliation
+      FROM {table} t WHERE status = 'BREAK'
+      GROUP BY GROUPING SETS ((root_cause), (root_cause, t.entity), (root_cause, t."quarter"),
+        (root_cause, t.entity, t."quarter"))"""
+    for table, name in (("t1", "gl_vs_subledger"), ("t2", "gl_vs_regulatory_extract"))
+)
+
 _ON_ORDERS = {
     "tieout_detail": _T1,
     "tieout_filed": _T2,
@@ -446,6 +479,9 @@ _ON_ORDERS = {
       n AS loan_count, ids AS distinct_loan_count FROM det""",
     "balance_rollup": f" SELECT {_KEY}, extract_balance FROM ext",
     "offset_pairs": f" SELECT {_KEY}, offsetting_product FROM partner",
+    "offset_pairs_dollar": _partners_within("1.00"),
+    "offset_pairs_wide": _partners_within("25000.00"),
+    "tieout_filed_within": _T2,
     "presence_flags": """ SELECT no_gl::INT AS missing_from_gl,
       no_extract::INT AS missing_from_extract, status, count(*) AS accounts
       FROM flag2 GROUP BY ALL""",
@@ -470,6 +506,21 @@ _ON_ORDERS = {
     "kpi_summary_scoped": _KPIS.replace("FROM gl", f"FROM gl WHERE {_SCOPE}").replace(
         "FROM breaks", f"FROM breaks WHERE {_SCOPE}"
     ),
+    "kpi_cube": _CUBE,
+    "kpi_scope_from_cells": _KPIS.replace("FROM gl", f"FROM gl WHERE {_SCOPE}").replace(
+        "FROM breaks", f"FROM breaks WHERE {_SCOPE}"
+    ),
+    "cause_cube": f" {_CAUSE_CUBE}",
+    "published_generations": """ SELECT "quarter", count(*) AS accounts,
+        CAST(sum(gl_balance) AS DECIMAL(38,2)) AS balance, CAST(1 AS INTEGER) AS generation
+      FROM gl GROUP BY "quarter" UNION ALL SELECT "quarter", count(*),
+        CAST(sum(gl_balance) AS DECIMAL(38,2)), 2 FROM gl WHERE entity <> 'ASIA' GROUP BY "quarter\"""",
+    "batches_retried": """ SELECT load_batch_id, count(*) AS rows,
+      CAST(sum(loan_amount) AS DECIMAL(38,2)) AS amount FROM sub GROUP BY ALL""",
+    "rollup_kept_current": f""" SELECT {_KEY}, CAST(amount AS DECIMAL(38,2)) AS sub_ledger_balance,
+      n AS loan_count, ids AS distinct_loan_count FROM det""",
+    "fetched_trend": " SELECT *, unnest(['arrow', 'rows']) AS way FROM trend",
+    "multiset_diff_tree": _MULTISET,
     "table_sample": """ SELECT loan_id, entity, product, "quarter", loan_amount, load_batch_id
       FROM sub ORDER BY loan_id, load_batch_id LIMIT 3""",
     "apportion_signed": f" {_SIGNED} SELECT * FROM parts",
@@ -681,6 +732,7 @@ _ON_LINES = {
     "kpi_summary_lineitem": _KPIS,
     "grade_verdicts_lineitem": _VERDICTS,
     "multiset_diff_lineitem": _MULTISET,
+    "multiset_diff_tree_lineitem": _MULTISET,
 }
 
 

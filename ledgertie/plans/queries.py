@@ -17,7 +17,19 @@ from ledgertie.functions.labels import (
     period_end,
 )
 from ledgertie.functions.variance import total
-from ledgertie.operators import allocate, offsets, quality, report, rollups, tieouts, trend, whatif
+from ledgertie.operators import (
+    allocate,
+    kept,
+    offsets,
+    quality,
+    report,
+    rollups,
+    tieouts,
+    trend,
+    whatif,
+)
+from ledgertie.operators.digests import tree_diff
+from ledgertie.operators.tolerance import offset_partner_within
 from ledgertie.sources import bindings
 from ledgertie.sources.bindings import Feeds
 from ledgertie.sources.feeds import (
@@ -25,10 +37,13 @@ from ledgertie.sources.feeds import (
     export,
     load_feeds,
     profile,
+    publish_checked,
     read_table,
     refresh,
     sample_rows,
 )
+from ledgertie.sources.fetching import fetched
+from ledgertie.sources.generations import append_batches, read_current
 from ledgertie.sources.schemas import FEEDS, KEYS
 from ledgertie.sources.session import materialise, scratch_path
 
@@ -474,6 +489,77 @@ def _written_twice(write: Callable[[DataFrame, str], None]) -> Callable[[Feeds],
     return body
 
 
+def _published(f: Feeds) -> DataFrame:
+    """The ledger published whole and then without ASIA, each as its readers saw it."""
+    spark = f.gl.sparkSession
+    path = scratch_path(spark, "ledger")
+    seen = []
+    for feed in (f.gl, f.gl.filter(F.col("entity") != "ASIA")):
+        publish_checked(feed, path, "general_ledger")
+        seen.append(read_current(spark, path))
+    counted = (
+        rows.groupBy("quarter").agg(
+            F.count("*").alias("accounts"), total(F.sum("gl_balance")).alias("balance")
+        )
+        for rows in seen
+    )
+    first, second = counted
+    return first.withColumn("generation", F.lit(1)).unionByName(
+        second.withColumn("generation", F.lit(2))
+    )
+
+
+def _batches_retried(f: Feeds) -> DataFrame:
+    """Rows per batch after some batches were loaded, then all, and then all once more."""
+    spark = f.gl.sparkSession
+    path = scratch_path(spark, "loans")
+    early = F.crc32(F.col("load_batch_id").cast("binary")) % 2 == 0
+    for load in (f.sub_ledger.filter(early), f.sub_ledger, f.sub_ledger):
+        append_batches(load, path)
+    return read_current(spark, path).groupBy("load_batch_id").agg(
+        F.count("*").alias("rows"), total(F.sum("loan_amount")).alias("amount")
+    )
+
+
+def _kept_rollup(f: Feeds) -> DataFrame:
+    """The detail rolled up from a state that three loads were folded into."""
+    spark = f.gl.sparkSession
+    path = scratch_path(spark, "state")
+    third = F.crc32(F.col("loan_id").cast("binary")) % 3
+    for number in range(3):
+        kept.fold_load(f.sub_ledger.filter(third == number), path, KEYS, "loan_amount", "loan_id")
+    return kept.rollup_of(spark, path, f.sub_ledger, KEYS, "loan_id")
+
+
+def _fetched_trend(f: Feeds) -> DataFrame:
+    """The trend as fetched in Arrow batches, and as fetched row by row."""
+    shown = materialise(_trend(f), "trend")
+    spark = shown.sparkSession
+    ways = (
+        spark.createDataFrame(list(fetched(shown, arrow)), shown.schema).withColumn("way", F.lit(way))
+        for way, arrow in (("arrow", True), ("rows", False))
+    )
+    return reduce(DataFrame.unionByName, ways)
+
+
+def _within(tolerance: str) -> Callable[[Feeds], DataFrame]:
+    return lambda f: offset_partner_within(
+        tieouts.flag_filed(f.gl, f.extract), KEYS, "product", tolerance
+    )
+
+
+def _tree_diff(f: Feeds) -> DataFrame:
+    return tree_diff(f.base.select("loan_id"), f.sub_ledger.select("loan_id"))
+
+
+def _cells(f: Feeds) -> DataFrame:
+    return report.kpi_cells(*_flags(f))
+
+
+def _cause_cubes(f: Feeds) -> DataFrame:
+    return _both(report.cause_cube(_detail(f)), report.cause_cube(_filed(f)))
+
+
 def _loaded_tieout(f: Feeds) -> DataFrame:
     """The detail tie-out of feeds that went out as CSV and were loaded with all checks."""
     spark = f.gl.sparkSession
@@ -532,6 +618,9 @@ def registry() -> dict[str, Query]:
         "offset_pairs": lambda f: offsets.offset_partner(
             tieouts.flag_filed(f.gl, f.extract), KEYS, "product"
         ),
+        "offset_pairs_dollar": _within("1.00"),
+        "offset_pairs_wide": _within("25000.00"),
+        "tieout_filed_within": lambda f: _filed(f, partners=offset_partner_within),
         "presence_flags": _presence,
         "population": lambda f: trend.population(f.gl),
         # report views
@@ -546,6 +635,9 @@ def registry() -> dict[str, Query]:
         "kpi_summary_scoped": lambda f: report.kpis(
             *(report.scope(flagged, *SCOPE) for flagged in _flags(f))
         ),
+        "kpi_cube": lambda f: report.kpi_cube(_cells(f)),
+        "kpi_scope_from_cells": lambda f: report.kpis_of_scope(_cells(f), *SCOPE),
+        "cause_cube": _cause_cubes,
         "break_counts": _status_counts,
         "money_labels": _kpi_labels,
         "money_labels_totals": _scaled_labels,
@@ -597,11 +689,16 @@ def registry() -> dict[str, Query]:
         "branch_overlap": _branch_overlap,
         "form_differences": _form_differences,
         "multiset_diff": _multiset_diff,
+        "multiset_diff_tree": _tree_diff,
         "account_difference": _account_difference,
         "universe_gaps": lambda f: quality.universe_gaps(f.gl),
         "load_checks": _load_checks,
         "append_twice": _written_twice(append),
         "refresh_twice": _written_twice(refresh),
+        "published_generations": _published,
+        "batches_retried": _batches_retried,
+        "rollup_kept_current": _kept_rollup,
+        "fetched_trend": _fetched_trend,
         "loaded_tieout": _loaded_tieout,
         "table_profile": _profile,
         "table_sample": lambda f: sample_rows(f.sub_ledger, 3, ["loan_id", "load_batch_id"]),
@@ -614,6 +711,7 @@ def registry() -> dict[str, Query]:
         "kpi_summary_lineitem": lambda f: report.kpis(*_flags(f)),
         "grade_verdicts_lineitem": _grade_verdicts,
         "multiset_diff_lineitem": _multiset_diff,
+        "multiset_diff_tree_lineitem": _tree_diff,
     }
     return {
         **{name: _on(orders_feeds, body) for name, body in orders.items()},

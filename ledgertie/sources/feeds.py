@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgertie.sources.fetching import fetch_rows
+from ledgertie.sources.generations import current, publish, read_current
 from ledgertie.sources.schemas import FEEDS
 
 
@@ -42,8 +44,12 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A loaded feed, at the columns and types of its schema."""
-    stored = lower_names(spark.read.parquet(path))
+    """A loaded feed, at the columns and types of its schema.
+
+    Of a table in generations it is the one in force when this is called.
+    """
+    published = current(spark, path) is not None
+    stored = lower_names(read_current(spark, path) if published else spark.read.parquet(path))
     return stored.select(*(F.col(field.name).cast(field.dataType) for field in schema))
 
 
@@ -95,8 +101,8 @@ def replace_checked(df: DataFrame, target: str, name: str = "table") -> int:
 
     The source is read once, counted as it is written, and the copy once for all checks.
     It is written beside the target and then renamed over it, so a failed write or
-    check leaves the previous table as it was. The two renames are not
-    one transaction on every file system; a table format gives that.
+    check leaves the previous table as it was. This is for plain folders that others read as
+    they are; between its two renames they can see no table, which :func:`publish_checked` avoids.
     """
     spark = df.sparkSession
     tag = uuid.uuid4().hex
@@ -127,11 +133,37 @@ def replace_checked(df: DataFrame, target: str, name: str = "table") -> int:
     return loaded
 
 
+def publish_checked(df: DataFrame, target: str, name: str = "table") -> int:
+    """Replace ``target``, a table in generations, after the same checks.
+
+    The source is read once, counted as it is written, and the copy once for all checks.
+    The copy comes into force by one rename (see :mod:`ledgertie.sources.generations`):
+    a reader sees the old table or the new one whole, and a failed write or check leaves
+    the old one in force. Read it with :func:`read_table` or ``read_current``.
+    """
+    sent = Observation()
+    observed = df.observe(sent, F.count(F.lit(1)).alias("rows"))
+    loaded = 0
+
+    def check(staged: DataFrame) -> None:
+        nonlocal loaded
+        holes = [F.count_if(F.col(column).isNull()) for column in staged.columns]
+        rows, *nulls = staged.agg(F.count("*"), *holes).first()
+        loaded = _same_count(sent.get["rows"], rows, name)
+        _refuse_nulls(dict(zip(staged.columns, nulls, strict=True)))
+
+    publish(observed, target, check)
+    return loaded
+
+
 def load_feeds(spark: SparkSession, sources: dict[str, str], folder: str) -> dict[str, int]:
-    """Load the CSV feeds into Parquet tables under ``folder``; rows loaded by name."""
+    """Load the CSV feeds into published tables under ``folder``; rows loaded by name.
+
+    Read them with :func:`read_table`.
+    """
     require_paths(spark, sources)
     return {
-        name: replace_checked(read_feed(spark, source, FEEDS[name]), f"{folder}/{name}", name)
+        name: publish_checked(read_feed(spark, source, FEEDS[name]), f"{folder}/{name}", name)
         for name, source in sources.items()
     }
 
@@ -151,8 +183,8 @@ def export(df: DataFrame, path: str) -> None:
 
 
 def fetch(df: DataFrame) -> Iterator[Row]:
-    """All rows of a result; the driver holds a partition at a time, and the one after it."""
-    return df.toLocalIterator(prefetchPartitions=True)
+    """All rows of a result (see :mod:`ledgertie.sources.fetching` for Arrow batches)."""
+    return fetch_rows(df)
 
 
 def profile(tables: dict[str, DataFrame]) -> DataFrame:
