@@ -45,6 +45,7 @@ from ledgertie.sources.session import scratch_path
 FOLDS, HELD_OUT = 4, 2
 CHUNK_WORDS = 2_000_000
 PART_WORDS = 2_000_000  # the tables are cut into a part for about so many words of text
+SLICE = 200_000  # words of a chunk that are scored at a time, which bounds a task's memory
 BUCKETS = 128
 ROUNDS = 4  # the bigram table is made in so many, each of which frees its shuffle
 CURVE_ROWS = 20_000  # labelled rows, at most about, that fit the curve
@@ -157,6 +158,7 @@ class Chunk:
         words, places = np.unique(
             np.concatenate([column("words", np.uint64), [START]]), return_inverse=True
         )
+        places = places.astype(np.int32)
         word = places[column("sequence", np.int32)]
         before = np.empty_like(word)
         before[1:] = word[:-1]
@@ -171,7 +173,7 @@ class Chunk:
             word,
             before,
             keys,
-            pair,
+            pair.astype(np.int32),
         )
 
     @property
@@ -385,13 +387,20 @@ def _differences(
     """
     word, before, pair = held.word, held.before, held.pair
     classes = (0, 1)
-    apart = model.differences(
-        [pairs[k][pair] for k in classes],
-        [words[k][word] for k in classes],
-        [words[2 + k][before] for k in classes],
-        [words[4 + k][before] for k in classes],
-        words[6][word],
-    )
+
+    def between(start: int) -> np.ndarray:
+        w, b, p = (places[start : start + SLICE] for places in (word, before, pair))
+        return model.differences(
+            [pairs[k][p] for k in classes],
+            [words[k][w] for k in classes],
+            [words[2 + k][b] for k in classes],
+            [words[4 + k][b] for k in classes],
+            words[6][w],
+        )
+
+    apart = np.empty(len(word))
+    for start in range(0, len(word), SLICE):
+        apart[start : start + SLICE] = between(start)
     texts = held.texts
     at = np.flatnonzero(held.drawn[texts] > 0)
     word, before, pair, texts = word[at], before[at], pair[at], texts[at]
