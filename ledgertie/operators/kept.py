@@ -18,13 +18,13 @@ from ledgertie.functions.variance import total
 from ledgertie.sources import generations
 from ledgertie.sources.session import materialise
 
-ACCOUNT_BUCKETS, ID_BUCKETS = 64, 4
+BUCKETS = (64, 4)  # by account, and by loan id in each; the same in every call over one state
 
 
-def _bucket(keys: list[str], id_col: str) -> Column:
-    account = F.pmod(F.xxhash64(*keys), F.lit(ACCOUNT_BUCKETS))
-    part = F.pmod(F.xxhash64(F.col(id_col), F.lit("part")), F.lit(ID_BUCKETS))
-    return (account * ID_BUCKETS + part).cast("int")
+def _bucket(keys: list[str], id_col: str, buckets: tuple[int, int]) -> Column:
+    account = F.pmod(F.xxhash64(*keys), F.lit(buckets[0]))
+    part = F.pmod(F.xxhash64(F.col(id_col), F.lit("part")), F.lit(buckets[1]))
+    return (account * buckets[1] + part).cast("int")
 
 
 def _number(part: str) -> int:
@@ -58,6 +58,7 @@ def fold_load(
     amt: str,
     id_col: str,
     balance: str = "sub_ledger_balance",
+    buckets: tuple[int, int] = BUCKETS,
 ) -> DataFrame:
     """Fold ``load`` into the state and return the new roll-up of the accounts that changed.
 
@@ -69,7 +70,7 @@ def fold_load(
     delta = load.groupBy(*by).agg(
         total(F.sum(amt)).alias("_amount"), F.count("*").alias("_rows")
     )
-    delta = materialise(delta.withColumn("_bucket", _bucket(keys, id_col)), "load")
+    delta = materialise(delta.withColumn("_bucket", _bucket(keys, id_col, buckets)), "load")
     touched = {row[0] for row in delta.select("_bucket").distinct().collect()}  # few by design
     seen = generations.current(spark, state)
     parts = list(seen.parts) if seen else []
@@ -77,14 +78,14 @@ def fold_load(
     both = old.unionByName(delta.select(*old.columns)).groupBy(*by)
     new = both.agg(total(F.sum("_amount")).alias("_amount"), F.sum("_rows").alias("_rows"))
     folder = f"load-{uuid.uuid4().hex}"
-    written = new.withColumn("_bucket", _bucket(keys, id_col))
+    written = new.withColumn("_bucket", _bucket(keys, id_col, buckets))
     written.write.mode("error").partitionBy("_bucket").parquet(f"{state}/{folder}")
     in_force = [part for part in parts if _number(part) not in touched]
     in_force += [f"{folder}/_bucket={bucket}" for bucket in sorted(touched)]
     generations.commit(spark, state, seen, tuple(in_force))
     changed = materialise(delta.select(*keys).distinct(), "changed")
-    accounts = {bucket // ID_BUCKETS for bucket in touched}
-    near = [part for part in in_force if _number(part) // ID_BUCKETS in accounts]
+    accounts = {bucket // buckets[1] for bucket in touched}
+    near = [part for part in in_force if _number(part) // buckets[1] in accounts]
     rows = _read(spark, state, near, schema)
     same = [rows[key].eqNullSafe(changed[key]) for key in keys]
     return _rolled(rows.join(changed, same, "left_semi"), keys, id_col, balance)

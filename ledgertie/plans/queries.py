@@ -527,7 +527,8 @@ def _kept_rollup(f: Feeds) -> DataFrame:
     path = scratch_path(spark, "state")
     third = F.crc32(F.col("loan_id").cast("binary")) % 3
     for number in range(3):
-        kept.fold_load(f.sub_ledger.filter(third == number), path, KEYS, "loan_amount", "loan_id")
+        load = f.sub_ledger.filter(third == number)
+        kept.fold_load(load, path, KEYS, "loan_amount", "loan_id", buckets=(8, 2))
     return kept.rollup_of(spark, path, f.sub_ledger, KEYS, "loan_id")
 
 

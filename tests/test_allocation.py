@@ -157,3 +157,50 @@ def test_apportioned_parts_sum_for_any_sign_and_scale(spark):
         assert found["fine"] == [Decimal("2.50"), Decimal("7.50")]
         assert found["none"] == [None, None]
         assert allocate.not_positive(parts).count() == 5
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("order", ["number", "text", "tied"])
+def test_large_accounts_are_narrowed_to_the_crossing_bin(spark, descending, order):
+    """Accounts far over the rows that may be sorted, one of them with almost all rows."""
+    rng = random.Random(7)
+    sizes = {"hot": 5000, "big": 800, "mid": 60, "one": 1, "whole": 300}
+    rows = []
+    for account, size in sizes.items():
+        numbers = rng.sample(range(size * 50), size)
+        if account == "hot":  # a far outlier, and a dense stretch
+            numbers[:2] = [2**40, 2**41]
+        total = 0
+        for n in numbers:
+            amount = dollars(rng.choice([0, 1, 5, 10**4]) / 100)
+            total += amount
+            rows.append([account, n, amount, None, "B"])
+        for row in rows[-size:]:
+            row[3] = total * 2 if account == "whole" else dollars(float(total) * 0.61)
+    df = spark.createDataFrame(rows, LOANS).repartition(4)
+    names = {"number": ["n"], "text": ["name"], "tied": ["half", "n"]}[order]
+    # strings that agree in their first bytes, and a first column with very few values
+    df = df.withColumn("name", F.format_string("loan-number-%020d", "n")).withColumn(
+        "half", (F.col("n") % 2).cast("int")
+    )
+    marked = ordered.mark_until(
+        df, ["account"], names, "amount", "target", descending, sorted_rows=50
+    )
+    places = [[r[0], (r[1] % 2, r[1]) if order == "tied" else r[1], *r[2:]] for r in rows]
+    want = taken_by_loop(places, descending)
+    taken = marked.filter("taken").select("account", "n").collect()
+    got = {(r.account, (r.n % 2, r.n) if order == "tied" else r.n) for r in taken}
+    assert got == want
+    cuts = ordered.cut_points(df, ["account"], names, "amount", "target", descending, 50).collect()
+    for cut in cuts:
+        mine = [r for r in places if r[0] == cut.account and (r[0], r[1]) in want]
+        assert (cut.moved_loans, cut.moved_amount) == (len(mine), sum(r[2] for r in mine))
+    assert {cut.account for cut in cuts if cut._cut is None} == {"whole"}
+
+
+def test_equal_orders_of_a_large_account_end(spark):
+    """Rows that nothing tells apart stop the narrowing instead of going on for ever."""
+    rows = [("a", 7, dollars(1), dollars(30), "B")] * 200
+    df = spark.createDataFrame(rows, LOANS)
+    (cut,) = ordered.cut_points(df, ["account"], ["n"], "amount", "target", False, 20).collect()
+    assert (cut.moved_loans, cut._cut.n) == (30, 7)

@@ -6,8 +6,11 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from frames import detail, extract, ledger
-from ledgertie.operators import offsets, quality, tieouts, trend
+from ledgertie.operators import allocate, offsets, ordered, quality, tieouts, trend, whatif
+from ledgertie.operators.tolerance import offset_partner_within
 from ledgertie.plans.queries import orders_feeds
 from ledgertie.sources.schemas import KEYS
 
@@ -84,12 +87,34 @@ def test_partner_search_never_compares_pairs(stored, partners):
 
 
 def test_universe_multiplies_distinct_values_only(stored):
-    text = plan(quality.universe_gaps(stored["gl"]))
+    text = plan(whatif.universe(stored["gl"]))
     assert text.count("CartesianProduct") == 2
     assert all([key] in hash_keys(text) for key in KEYS)
     assert not any(word in text for word in NEVER if word != "CartesianProduct")
 
 
+def test_gaps_multiply_nothing(stored):
+    assert not any(word in plan(quality.universe_gaps(stored["gl"])) for word in NEVER)
+
+
+def test_rows_are_selected_without_a_global_sort(stored):
+    aimed = stored["sub"].withColumn("target", F.lit(50).cast("decimal(18,2)"))
+    for df in (
+        ordered.cut_points(aimed, KEYS, ["loan_id"], "loan_amount", "target"),
+        allocate.drop_tail_until(aimed, KEYS, ["loan_id"], "loan_amount", "target"),
+        allocate.apportion_exact(aimed, KEYS, "target", "loan_amount", "loan_id"),
+    ):
+        assert "rangepartitioning" not in plan(df)
+
+
+def test_partners_within_a_tolerance_compare_no_pairs(stored):
+    flagged = tieouts.flag_filed(stored["gl"], stored["ext"])
+    found = offset_partner_within(flagged, KEYS, "product", "5.00")
+    text = plan(found)
+    assert not any(word in text for word in NEVER)
+    assert not re.search(r"SortMergeJoin .*, Inner, .*(abs|<)", text)
+
+
 def test_feeds_are_made_on_first_use(spark):
     bound = orders_feeds(spark, "/root/testdata/sf0.001")
     assert bound.sub_ledger.columns and set(vars(bound)) == {"base", "sub_ledger"}
