@@ -195,8 +195,7 @@ def reconcile_filed(
 
     The flagged accounts are written once, because the search for partners reads them
     again twice and Spark would otherwise pair both feeds for each reading. Accounts
-    with a partner are few as a rule: they are written and counted, and broadcast to
-    the flagged rows if their number allows.
+    with a partner are written too, so that Spark joins them by their size.
     """
     flagged = materialise(flag_filed(gl, extract, keys, gl_amt, extract_amt, threshold, pairing))
     cause = causes.cause_filed(
