@@ -159,12 +159,13 @@ def test_apportioned_parts_sum_for_any_sign_and_scale(spark):
         assert allocate.not_positive(parts).count() == 5
 
 
-@pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("order", ["number", "text", "tied"])
+@pytest.mark.parametrize(
+    "order, descending", [("number", False), ("number", True), ("text", True), ("tied", False)]
+)
 def test_large_accounts_are_narrowed_to_the_crossing_bin(spark, descending, order):
     """Accounts far over the rows that may be sorted, one of them with almost all rows."""
     rng = random.Random(7)
-    sizes = {"hot": 5000, "big": 800, "mid": 60, "one": 1, "whole": 300}
+    sizes = {"hot": 2500, "big": 400, "mid": 60, "one": 1, "whole": 300}
     rows = []
     for account, size in sizes.items():
         numbers = rng.sample(range(size * 50), size)
@@ -184,14 +185,14 @@ def test_large_accounts_are_narrowed_to_the_crossing_bin(spark, descending, orde
         "half", (F.col("n") % 2).cast("int")
     )
     marked = ordered.mark_until(
-        df, ["account"], names, "amount", "target", descending, sorted_rows=50
+        df, ["account"], names, "amount", "target", descending, sorted_rows=100
     )
     places = [[r[0], (r[1] % 2, r[1]) if order == "tied" else r[1], *r[2:]] for r in rows]
     want = taken_by_loop(places, descending)
     taken = marked.filter("taken").select("account", "n").collect()
     got = {(r.account, (r.n % 2, r.n) if order == "tied" else r.n) for r in taken}
     assert got == want
-    cuts = ordered.cut_points(df, ["account"], names, "amount", "target", descending, 50).collect()
+    cuts = ordered.cut_points(df, ["account"], names, "amount", "target", descending, 100).collect()
     for cut in cuts:
         mine = [r for r in places if r[0] == cut.account and (r[0], r[1]) in want]
         assert (cut.moved_loans, cut.moved_amount) == (len(mine), sum(r[2] for r in mine))
