@@ -30,8 +30,8 @@ from ledgertie.operators import (
 )
 from ledgertie.operators.digests import tree_diff
 from ledgertie.operators.tolerance import offset_partner_within
-from ledgertie.sources import bindings
-from ledgertie.sources.bindings import Feeds
+from ledgertie.plans import bindings
+from ledgertie.plans.bindings import Feeds
 from ledgertie.sources.feeds import (
     append,
     export,
