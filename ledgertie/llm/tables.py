@@ -43,46 +43,123 @@ def constants(values: Sequence[int], kind: str) -> Column:
 
 
 @dataclass(frozen=True)
-class RangeParts:
-    """Consecutive ranges of ids: equal steps from ``low``, and the range of each step."""
+class Steps:
+    """Equal steps of ids from ``low``, and the range of each; a negative one is cut further.
+
+    Step number ``-1 - i`` among the ranges stands for the ``i``-th of the finer steps.
+    """
 
     low: int
     step: int
     parts: tuple[int, ...]
 
+    def column(self, name: str, parts: Column) -> Column:
+        cell = F.expr(f"(`{name}` - {self.low}L) div {self.step}L").cast("int")
+        return F.element_at(parts, F.greatest(cell, F.lit(0)) + 1)
+
+
+@dataclass(frozen=True)
+class RangeParts:
+    """Consecutive ranges of ids, from equal steps and finer ones where they hold too many."""
+
+    steps: Steps
+    finer: tuple[Steps, ...] = ()
+
     @property
     def count(self) -> int:
-        return self.parts[-1] + 1
+        last = self.steps.parts[-1]
+        return (last if last >= 0 else self.finer[-1].parts[-1]) + 1
 
     def column(self, name: str) -> Column:
         """The number of the range a row lies in; nulls lie in the first."""
-        cell = F.expr(f"(`{name}` - {self.low}L) div {self.step}L").cast("int")
-        held = F.element_at(constants(self.parts, "int"), cell + 1)
+        held = self.steps.column(name, constants(self.steps.parts, "int"))
+        if self.finer:
+            # the finer steps lie behind each other in one array, each from its own offset
+            offsets, joined = [], []
+            for finer in self.finer:
+                offsets.append(len(joined))
+                joined += finer.parts
+
+            def of(values: Sequence[int]) -> Column:
+                return F.get(constants(values, "long"), -1 - held)
+
+            lows, widths = ([getattr(f, k) for f in self.finer] for k in ("low", "step"))
+            inside = of(offsets) + F.call_function("div", F.col(name) - of(lows), of(widths))
+            finest = F.get(constants(joined, "int"), inside.cast("int"))
+            held = F.when(held >= 0, held).otherwise(finest)
         return F.when(F.col(name).isNull(), F.lit(0)).otherwise(held)
 
 
+def _cells(ids: DataFrame, low: int, high: int, cells: int) -> tuple[int, dict[int, tuple]]:
+    """Equal steps between two ids: their width, and count, least and greatest id of each."""
+    step = (high - low) // cells + 1
+    cell = F.expr(f"(id - {low}L) div {step}L").cast("int")
+    counted = ids.groupBy(cell.alias("cell")).agg(
+        F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
+    )
+    return step, {row["cell"]: (row["n"], row["low"], row["high"]) for row in counted.toLocalIterator()}
+
+
 def range_parts(ids: DataFrame, column: str, rows: int, cells: int = 65_536) -> RangeParts:
-    """Ranges of ids that hold about ``rows`` rows each, as far as ``cells`` steps tell.
+    """Ranges of ids that hold about ``rows`` rows each, as far as steps tell.
 
     The ids are counted in at most ``cells`` equal steps between the least and the
-    greatest, so the driver gets a table of bounded size, and the ranges depend on the
-    ids alone: not on the partitions of the input or on their order.
+    greatest, and steps with more than ``rows`` rows once more between their own least and
+    greatest, so one far id does not leave all others in one range. The driver gets
+    tables of bounded size, and the ranges depend on the ids alone: not on the partitions
+    of the input or on their order. Rows with one id stay in one range.
     """
     held = ids.select(F.col(column).alias("id")).filter(F.col("id").isNotNull())
     low, high = held.agg(F.min("id"), F.max("id")).first()
     if low is None:
-        return RangeParts(0, 1, (0,))
-    step = (high - low) // cells + 1
-    cell = F.expr(f"(id - {low}L) div {step}L").cast("int")
-    counts = dict(held.groupBy(cell.alias("cell")).count().toLocalIterator())
-    parts, part, filled = [], 0, 0
-    for cell_no in range((high - low) // step + 1):
-        n = counts.get(cell_no, 0)
+        return RangeParts(Steps(0, 1, (0,)))
+    step, counts = _cells(held, low, high, cells)
+    full = {cell for cell, (n, least, most) in counts.items() if n > rows and most > least}
+    part = filled = 0
+
+    def next_part(n: int) -> int:
+        nonlocal part, filled
         if filled and filled + n > rows:
             part, filled = part + 1, 0
         filled += n
-        parts.append(part)
-    return RangeParts(low, step, tuple(parts))
+        return part
+
+    within = {}
+    if full:
+        each = max(2, cells // len(full))
+        bounds = {cell: counts[cell][1:] for cell in full}
+        within = _finer(held, low, step, bounds, each)
+    parts, finer = [], []
+    for cell in range((high - low) // step + 1):
+        if cell in full:
+            least, most = bounds[cell]
+            width = (most - least) // each + 1
+            inner = (within.get((cell, at), 0) for at in range((most - least) // width + 1))
+            finer.append(Steps(least, width, tuple(next_part(n) for n in inner)))
+            parts.append(-len(finer))
+        else:
+            parts.append(next_part(counts[cell][0] if cell in counts else 0))
+    return RangeParts(Steps(low, step, tuple(parts)), tuple(finer))
+
+
+def _finer(
+    ids: DataFrame, low: int, step: int, bounds: dict[int, tuple[int, int]], each: int
+) -> dict[tuple[int, int], int]:
+    """Rows in each of ``each`` equal steps between the bounds of some cells."""
+    names = sorted(bounds)
+    place = {cell: i for i, cell in enumerate(names)}
+    lows = [bounds[cell][0] for cell in names]
+    widths = [(bounds[cell][1] - bounds[cell][0]) // each + 1 for cell in names]
+    which = F.element_at(
+        F.map_from_arrays(constants(names, "int"), constants([place[c] + 1 for c in names], "int")),
+        F.expr(f"(id - {low}L) div {step}L").cast("int"),
+    )
+    rows = ids.withColumn("which", which).filter(F.col("which").isNotNull())
+    start = F.element_at(constants(lows, "long"), F.col("which"))
+    width = F.element_at(constants(widths, "long"), F.col("which"))
+    at = F.call_function("div", F.col("id") - start, width).cast("int")
+    counted = rows.groupBy("which", at.alias("at")).count()
+    return {(names[r["which"] - 1], r["at"]): r["count"] for r in counted.toLocalIterator()}
 
 
 def free_name(df: DataFrame, name: str) -> str:

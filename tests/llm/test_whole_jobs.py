@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgertie.llm import line_dedup, mixing, pii, toxicity
+from ledgertie.llm import line_dedup, mixing, pii, tables, toxicity
 from ledgertie.llm.text import PLAIN_WORDS, as_bytes, words_of
 
 
@@ -155,3 +157,18 @@ def test_mixing_at_a_high_rate(spark):
     weights = spark.createDataFrame([("rare", 1.0), ("big", 1.0)], "source string, weight double")
     mixed = {r.source: r["count"] for r in mixing.mix(docs, weights, epochs=5.0).groupBy("source").count().collect()}
     assert abs(mixed["rare"] - 10_000) < 600 and abs(mixed["big"] - 10_000) < 600
+
+
+@pytest.mark.parametrize("far", [[], [2**61], [-(2**60), 2**61], [10**6, 2**50 + 5, 2**50 + 6]])
+def test_ranges_stay_even_beside_far_ids(spark, far):
+    ids = [*range(20_000), *far, *[7] * 50]
+    df = spark.createDataFrame([(i,) for i in [*ids, None, None]], "doc_id long").repartition(3)
+    parts = tables.range_parts(df, "doc_id", 500, cells=4096)
+    placed = df.withColumn("part", parts.column("doc_id")).collect()
+    held: dict[int, list] = {}
+    for row in placed:
+        held.setdefault(row.part, []).append(row.doc_id)
+    assert set(held) <= set(range(parts.count)) and all(None not in held[p] for p in held if p)
+    bounds = [sorted(i for i in held[p] if i is not None) for p in sorted(held)]
+    assert all(a[-1] < b[0] for a, b in itertools.pairwise(bounds))
+    assert max(map(len, held.values())) <= 600 and len(held) >= 38
