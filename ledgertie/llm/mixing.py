@@ -4,8 +4,9 @@ Each document is repeated a Poisson-distributed number of times, whose mean is t
 that brings its source to its target weight. The number is the inverse of the Poisson
 distribution at a uniform number hashed from the seed and the document's id, so it does
 not depend on partitions or retries, and no source has to be counted out or sorted.
-Where the id is null or several rows have it, the row's number is hashed with it: each
-row draws for itself, so weights are met and rows spread whatever the ids.
+Where the id is null or several rows have it, the MD5 of source and text and the place
+among equal rows are hashed with it: each row draws for itself, so weights are met and
+rows spread whatever the ids.
 
 Defined results: a null source is a source of its own; a source without a target weight
 or with weight 0 is left out; a null id hashes as the word null; a null or empty text is
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgertie.llm.tables import free_name, materialise, numbered
+from ledgertie.operators.ordered import positions
 
 TEMPERATURE = 0.5
 SEED = "mix-1"
@@ -82,6 +84,27 @@ def rates(
     return counted.select("source", (share / F.col("n")).alias("rate"))
 
 
+def _places_among_equals(
+    docs: DataFrame, repeated: DataFrame, row: str, id_col: str, source_col: str, text_col: str
+) -> DataFrame:
+    """Rows whose id is null or repeated: their number and what tells them apart (row, own).
+
+    Equal rows are numbered across partitions, so that no task has all of them.
+    """
+    (again,) = repeated.columns
+    parts = [source_col, *([text_col] if text_col in docs.columns else [])]
+    told = [F.coalesce(F.col(f"`{part}`").cast("string"), F.lit("null")) for part in parts]
+    rows = docs.select(
+        F.col(row).alias("row"), F.col(f"`{id_col}`").alias("id"), F.md5(F.concat_ws(":", *told)).alias("content")
+    )
+    nameless = rows.filter(F.col("id").isNull())
+    shared = rows.join(repeated, F.col("id") == F.col(again), "left_semi")
+    name = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), "content")
+    kept = nameless.unionByName(shared).select("row", "content", name.alias("name"))
+    placed = positions(kept, ["name"], ["row"], "place")
+    return materialise(placed.select("row", F.concat_ws(":", "content", "place")), "places")
+
+
 def mix(
     docs: DataFrame,
     weights: DataFrame | None = None,
@@ -90,6 +113,7 @@ def mix(
     temperature: float = TEMPERATURE,
     epochs: float = 1.0,
     seed: str = SEED,
+    text_col: str = "text",
 ) -> DataFrame:
     """The documents of ``docs``, each as often as drawn, in random order.
 
@@ -105,12 +129,12 @@ def mix(
     known = materialise(poisson_steps(known), "rates").toDF(of, steps)
     ids = docs.select(F.col(f"`{id_col}`").alias(again)).filter(F.col(again).isNotNull())
     ids = materialise(ids.groupBy(again).count().filter("count > 1").select(again), "repeated_ids")
-    drawn = numbered(docs, row)
-    drawn = drawn.join(known, drawn[source_col].eqNullSafe(known[of]))
-    drawn = drawn.join(ids, F.col(f"`{id_col}`") == F.col(again), "left")
-    alone = F.col(f"`{id_col}`").isNotNull() & F.col(again).isNull()
+    held = numbered(docs, row)
+    alike = _places_among_equals(held, ids, row, id_col, source_col, text_col)
+    drawn = held.join(known, held[source_col].eqNullSafe(known[of]))
+    drawn = drawn.join(alike.toDF(again, own), F.col(row) == F.col(again), "left")
     text_id = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null"))
-    text_id = F.when(alone, text_id).otherwise(F.concat_ws(":", text_id, row))
+    text_id = F.when(F.col(own).isNull(), text_id).otherwise(F.concat_ws(":", text_id, own))
     repeated = (
         drawn.withColumn(own, text_id)
         .withColumn(place, uniform(seed, F.col(own)))

@@ -124,9 +124,16 @@ steps AS (
     OVER (PARTITION BY source ORDER BY k) AS below
   FROM (SELECT source, rate, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS BIGINT) + 1))
           AS k FROM rate)),
+named AS (
+  SELECT *, coalesce(CAST(doc_id AS VARCHAR), 'null') AS id,
+    count(*) OVER (PARTITION BY doc_id) AS n_rows,
+    md5(coalesce(source, 'null') || ':' || coalesce(text, 'null')) AS content FROM documents),
+told AS (
+  SELECT *, CASE WHEN doc_id IS NOT NULL AND n_rows = 1 THEN id ELSE id || ':' || content || ':'
+    || (row_number() OVER (PARTITION BY doc_id, content) - 1) END AS own FROM named),
 u AS (
-  SELECT *, CAST(('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))
-    AS BIGINT) / 4503599627370496.0 AS u FROM documents),
+  SELECT *, CAST(('0x' || substr(md5('mix-1:' || own), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u
+  FROM told),
 drawn AS (
   SELECT *, (SELECT count(*) FROM steps WHERE steps.source IS NOT DISTINCT FROM u.source
              AND below <= u.u) AS times FROM u)
