@@ -8,9 +8,9 @@ bin in which the account crosses its target is looked at again, until it is smal
 window then sees that bin alone. Every round leaves about one row in sixty of the large
 accounts; which quantiles a round happens to take changes nothing in the result.
 
-Positions need all rows in order, so they range-partition on account *and* order: a
-large account spreads over many consecutive partitions ("chunks"), and totals per chunk
-give each chunk's starting point.
+Positions need all rows in order, so account *and* order, but no other column, are
+range-partitioned: a large account spreads over many consecutive partitions ("chunks"),
+totals per chunk give each chunk's starting point, and rows are joined to their number.
 """
 
 from __future__ import annotations
@@ -211,22 +211,34 @@ def mark_until(
 def positions(
     df: DataFrame, keys: list[str], order: list[str], name: str = "position"
 ) -> DataFrame:
-    """All rows of ``df`` numbered from 0 within their account."""
+    """All rows of ``df`` numbered from 0 within their account.
+
+    Only ``keys`` and ``order`` are sorted and written; whole rows move once, to meet their
+    numbers. NULL in a key or an order column is a value like any other, and comes first.
+    Rows that ``order`` doesn't tell apart have consecutive numbers, in any order.
+    """
+    line, within = F.struct(*keys, *order), F.struct(*keys, CHUNK)
     chunked = materialise(
-        df.orderBy(*keys, *order)
+        df.select(*keys, *order)
+        .orderBy(*keys, *order)
         .withColumn(CHUNK, F.spark_partition_id())
-        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_at", F.monotonically_increasing_id()),
+        "order",
     )
     starts = chunked.groupBy(*keys, CHUNK).agg(
         F.min("_at").alias("_first"), F.count("*").alias("_rows")
     )
-    starts = materialise(
-        starts.select(
-            *keys, CHUNK, "_first", _before(keys, "_rows", [F.col(CHUNK)]).alias("_before")
-        )
+    earlier = _before(keys, "_rows", [F.col(CHUNK)]) - F.col("_first")
+    starts = materialise(starts.select(within.alias("_within"), earlier.alias("_ahead")), "starts")
+    # structs are equal where both hold NULL, so rows without an account find theirs as well
+    placed = chunked.withColumn("_within", within).join(starts, "_within")
+    numbers = placed.groupBy(line.alias("_line")).agg(
+        F.min(F.col("_at") + F.col("_ahead")).alias("_place")
     )
+    tied = F.row_number().over(Window.partitionBy("_line").orderBy("_place"))
     return (
-        chunked.join(starts, [*keys, CHUNK])
-        .withColumn(name, F.col("_before") + F.col("_at") - F.col("_first"))
-        .drop(CHUNK, "_at", "_first", "_before")
+        df.withColumn("_line", line)
+        .join(numbers, "_line")
+        .withColumn(name, F.col("_place") + tied - 1)
+        .drop("_line", "_place")
     )

@@ -81,6 +81,21 @@ def test_positions_count_from_zero(spark, many_chunks):
         assert [position for _, position in sorted(pairs)] == list(range(len(pairs)))
 
 
+def test_positions_of_nulls_ties_and_other_columns(spark, many_chunks):
+    rows = [(a, n, f"{a}{n}{i}") for a in ("x", None) for n in (3, None, 1, 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "account string, n int, _note string").repartition(7)
+    got = ordered.positions(df, ["account"], ["n"])
+    assert got.columns == ["account", "n", "_note", "position"]
+    found = defaultdict(dict)
+    for row in got.collect():
+        found[row.account][row.position] = row.n
+        assert row._note.startswith(f"{row.account}{row.n}")
+    wanted = [None] * 20 + [1] * 40 + [3] * 20
+    assert set(found) == {"x", None}
+    assert all([numbers[i] for i in range(80)] == wanted for numbers in found.values())
+    assert ordered.positions(df.limit(0), ["account"], ["n"]).count() == 0
+
+
 def test_batches(spark):
     _, df = loans(spark, {"a": 60})
     batches = allocate.assign_batches(df, ["account"], ["n"]).collect()

@@ -107,6 +107,13 @@ def test_rows_are_selected_without_a_global_sort(stored):
         assert "rangepartitioning" not in plan(df)
 
 
+def test_whole_rows_are_numbered_without_being_sorted_or_written(stored):
+    shown = plan(allocate.assign_batches(stored["sub"], KEYS, ["loan_id"]))
+    assert "rangepartitioning" not in shown
+    # rows are read from the feed itself, beside the written numbers
+    assert shown.count("surplus") and shown.count("SinglePartition") == 0
+
+
 def test_partners_within_a_tolerance_compare_no_pairs(stored):
     flagged = tieouts.flag_filed(stored["gl"], stored["ext"])
     found = offset_partner_within(flagged, KEYS, "product", "5.00")
