@@ -192,38 +192,50 @@ def exact_starts(terms: list[dict], lists: dict[int, np.ndarray]) -> np.ndarray:
     return starts
 
 
-def near_starts(terms: list[dict], lists: dict[int, np.ndarray], span: int) -> np.ndarray:
-    """Starts of spans of at most ``span`` words that hold every term, in any order.
-
-    Spans start at an occurrence of one of the terms, near one of the rarest term.
+def near_spans(
+    terms: list[dict], lists: dict[int, np.ndarray], most: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the spans of at most ``most`` words that hold a phrase's words.
+
+    Words may be in any order; a word that the phrase has several times is needed as often.
+    Spans are the shortest ones: none holds another, so each begins and ends with a word of
+    the phrase. Only words near one of the rarest term are looked at.
     """
-    wanted = list(dict.fromkeys(term["term"] for term in terms))
-    if any(term not in lists for term in wanted):
-        return np.zeros(0, np.int64)
-    rarest = lists[wanted[0]]
-    around = [rarest]
-    for term in wanted[1:]:
+    wanted: dict[int, int] = {}
+    for term in terms:
+        wanted[term["term"]] = wanted.get(term["term"], 0) + 1
+    none = np.zeros(0, np.int64)
+    if any(len(lists.get(term, none)) < times for term, times in wanted.items()):
+        return none, none
+    rarest = lists[next(iter(wanted))]
+    around = []
+    for term in wanted:
         held = lists[term]
         after = rarest[np.minimum(np.searchsorted(rarest, held), len(rarest) - 1)] - held
-        around.append(held[(after >= 0) & (after < span)])
+        around.append(held[(after >= 0) & (after < most)])
     starts = np.unique(np.concatenate(around))
-    for term in wanted:
+    ends = starts
+    for term, times in wanted.items():
         held = lists[term]
-        place = np.searchsorted(held, starts)
+        place = np.searchsorted(held, starts) + times - 1
         inside = place < len(held)
-        starts, place = starts[inside], place[inside]
-        starts = starts[held[place] - starts < span]
-    return starts
+        starts, ends, place = starts[inside], ends[inside], place[inside]
+        ends = np.maximum(ends, held[place])
+        near = ends - starts < most
+        starts, ends = starts[near], ends[near]
+    # ends never fall as starts rise, so of the spans with one end the last is the shortest
+    shortest = np.append(ends[1:] != ends[:-1], True)[: len(ends)]
+    return starts[shortest], ends[shortest] + 1
 
 
-def _result(documents: list, found: list[tuple[str, np.ndarray, int]]) -> pa.Table:
-    """A row per document of the segment from (item, span starts, span length)."""
+def _result(documents: list, found: list[tuple[str, np.ndarray, np.ndarray]]) -> pa.Table:
+    """A row per document of the segment from (item, span starts, span ends)."""
     spans: dict[int, list] = {}
     items: dict[int, set] = {}
-    for item, starts, size in found:
+    for item, starts, ends in found:
         for doc in np.unique(starts >> 32).tolist():
             items.setdefault(doc, set()).add(item)
-        for start in starts.tolist():
+        for start, size in zip(starts.tolist(), (ends - starts).tolist(), strict=True):
             place = (start & 0xFFFFFFFF) - (1 << 30)
             spans.setdefault(start >> 32, []).append((place, place + size))
     rows = []
@@ -251,8 +263,8 @@ def lookup(index: DataFrame, cut: DataFrame, slop: int | None = None) -> DataFra
 
     ``items`` are the ids of items with an occurring phrase, ``spans`` the words covered
     and ``n_hit`` their number. Without ``slop`` a phrase occurs where its words follow
-    each other exactly; with it, where all its words lie within its own length plus
-    ``slop`` words, in any order.
+    each other exactly; with it, where all its words, each as often as in the phrase, lie
+    within its own length plus ``slop`` words, in any order.
 
     Only lists of the phrases' terms leave the index, and a phrase goes only to the
     segments that have its rarest term.
@@ -273,14 +285,12 @@ def lookup(index: DataFrame, cut: DataFrame, slop: int | None = None) -> DataFra
         items, asked_terms = wanted["item"].to_pylist(), wanted["terms"].to_pylist()
         for item, ordered in zip(items, asked_terms, strict=True):
             if slop is None:
-                size, starts = len(ordered), exact_starts(ordered, lists)
+                starts = exact_starts(ordered, lists)
+                ends = starts + len(ordered)
             else:
-                size = len(ordered) + slop
-                starts = near_starts(ordered, lists, size)
+                starts, ends = near_spans(ordered, lists, len(ordered) + slop)
             if len(starts):
-                found.append((item, starts, size))
-        if slop is not None:
-            found = [(item, starts, 1) for item, starts, _ in found]
+                found.append((item, starts, ends))
         return _result(documents, found)
 
     return (
@@ -297,14 +307,10 @@ def contamination(
     slop: int | None = None,
     segment_words: int = SEGMENT_WORDS,
 ) -> DataFrame:
-    """Index ``docs`` (doc_id, text) and look up all windows of ``items`` (item_id, text).
-
-    With ``slop``, spans are the first words of near matches, since their ends vary.
-    """
+    """Index ``docs`` (doc_id, text) and look up all windows of ``items`` (item_id, text)."""
     return lookup(build_index(docs, segment_words), phrases(items, window), slop)
 
 
-
 def report(found: DataFrame) -> DataFrame:
     """Digest of the found items per document."""
     listed = F.array_join("items", ",")
