@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as contract
 from compare import connect, differences
 from ledgertie.plans import oracle
-from ledgertie.plans.queries import registry
+from ledgertie.plans.queries import orders_feeds, registry
 from test_plans import NEVER
 
 FOLDER = "/root/testdata/sf0.001"
@@ -77,3 +77,29 @@ def test_every_query_has_a_counterpart():
 
 def test_entry(spark):
     assert contract.entry(spark).columns[:3] == ["entity", "product", "quarter"]
+
+
+def test_unmatched_scenarios_are_those_the_whole_ledger_lacks(spark, tmp_path):
+    tables = {
+        "region(r_regionkey, r_name)": "(3, 'EUROPE'), (4, 'MIDDLE EAST')",
+        "nation(n_nationkey, n_regionkey)": "(30, 3), (40, 4)",
+        "customer(c_custkey, c_nationkey)": "(300, 30), (400, 40)",
+        "orders(o_orderkey, o_custkey, o_orderpriority, o_orderdate, o_totalprice)": """
+          (1, 400, '1-URGENT', DATE '1992-11-15', 10.5::DOUBLE),
+          (2, 400, '2-HIGH', DATE '1992-11-15', 20.5),
+          (3, 300, '1-URGENT', DATE '1995-08-15', 30.5),
+          (4, 300, '2-HIGH', DATE '1995-08-15', 40.5),
+          (5, 300, '1-URGENT', DATE '1998-11-15', 50.5)""",
+    }
+    writer = connect(str(tmp_path))
+    for table, rows in tables.items():
+        path = tmp_path / f"{table.split('(')[0]}.parquet"
+        writer.execute(f"COPY (FROM (VALUES {rows}) AS {table}) TO '{path}'")
+    folder, sql = str(tmp_path), connect(str(tmp_path))
+    gl = orders_feeds(spark, folder).gl
+    assert gl.filter("entity = 'EUROPE' AND product = '1-URGENT'").count() == 2
+    found = registry()["unmatched_scenarios"](spark, folder)
+    assert [tuple(row) for row in found.collect()] == [
+        ("MIDDLE EAST", "1-URGENT", "1992Q4", "mapping_error")
+    ]
+    assert differences(found, sql, oracle.statements()["unmatched_scenarios"]) == ""
